@@ -49,7 +49,7 @@ def _(spark, sf):
     return flagged.where(member(F.col(NAF), vocab.NARROW_NAF) & wanted).drop("listed")
 
 
-def _truthy_sql(c: str) -> str:
+def truthy_sql(c: str) -> str:
     text = f"lower(trim({c}))"
     return f"coalesce({text} <> 'false' AND coalesce(try_cast({text} AS DOUBLE) <> 0, true), true)"
 
@@ -57,7 +57,7 @@ def _truthy_sql(c: str) -> str:
 @query(
     "flt04_all_flags",
     f"""WITH {WITH_ROLES} SELECT * FROM activities WHERE """
-    + " AND ".join(_truthy_sql(f'"{c}"') for c in vocab.DIGITAL_SURVEY_FLAGS),
+    + " AND ".join(truthy_sql(f'"{c}"') for c in vocab.DIGITAL_SURVEY_FLAGS),
 )
 def _(spark, sf):
     return filters.all_truthy(roles.role(spark, sf, "part", roles.ACTIVITIES), vocab.DIGITAL_SURVEY_FLAGS)
