@@ -75,9 +75,10 @@ def _(spark, sf):
     f"WITH {golden_ctes('history')} SELECT siren, denomination, {', '.join(f'denomination__{o}' for o in vocab.ORIGINS)} FROM records",
 )
 def _(spark, sf):
-    value = blank_to_null(F.col("denomination"))
-    resolved = consolidate.agg_resolve(value, _order(), vocab.ORIGINS)
-    rows = roles.golden_input(spark, sf).groupBy("siren").agg(resolved.alias("r"))
+    rows = roles.golden_input(spark, sf).select(
+        "siren", "_origin", _order().alias("_order"), blank_to_null(F.col("denomination")).alias("denomination")
+    )
+    rows = rows.groupBy("siren").agg(consolidate.agg_resolve("denomination", vocab.ORIGINS).alias("r"))
     versions = [
         F.try_element_at("r.versions", F.lit(o)).alias(f"denomination__{o}") for o in vocab.ORIGINS
     ]

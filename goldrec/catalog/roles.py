@@ -6,7 +6,7 @@ SQL and in the SQL of the checks alike, so both sides start from equal rows.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from goldrec.operators.consolidate import union_all
 from goldrec.plans import candidates as plans
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,13 +18,23 @@ def code_text(c: Column) -> Column:
     return F.when(in_range, number).cast("int").cast("string")
 
 
+def literal_map(mapping: dict[str, str]) -> Column:
+    """A small fixed dictionary as one constant of the plan."""
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in mapping.items())
+    return F.expr(f"map({pairs})")
+
+
+def literal_list(values: list[str]) -> Column:
+    """A small fixed list as one constant of the plan."""
+    return F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")")
+
+
 def lookup(mapping: dict[str, str], c: Column) -> Column:
     """Dictionary value of a code, null when the code is unknown (JOIN-05).
 
     Only for the small fixed vocabularies; larger dictionaries are joined.
     """
-    literal = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    return F.try_element_at(literal, c)
+    return F.try_element_at(literal_map(mapping), c)
 
 
 def member(c: Column, codes: list[str]) -> Column:

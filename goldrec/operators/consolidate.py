@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldrec import vocab
-from goldrec.functions.codes import code_text, lookup, member
+from goldrec.functions.codes import code_text, literal_list, lookup, member
 from goldrec.functions.text import blank_to_null
 
 ORIGIN = "_origin"
@@ -28,8 +28,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def input_order(origins: list[str], row_order: Column) -> Column:
     """Sortable position of a row in the input: origin rank, then row order (WIN-02)."""
-    ranks = F.array(*[F.lit(o) for o in origins])
-    position = F.array_position(ranks, F.col(ORIGIN))
+    position = F.array_position(literal_list(origins), F.col(ORIGIN))
     rank = F.when(position == 0, len(origins) + 1).otherwise(position).cast("int")
     return F.struct(rank.alias("rank"), row_order.alias("row"))
 
@@ -48,14 +47,14 @@ def agg_set(c: Column, sep: str = "|") -> Column:
 
 def agg_best(c: Column, priority: list[str], order: Column) -> Column:
     """Value that comes first in the priority list; unknown values last (AGG-04)."""
-    position = F.array_position(F.array(*[F.lit(p) for p in priority]), c)
+    position = F.array_position(literal_list(priority), c)
     rank = F.when(position == 0, 99).otherwise(position)
-    return F.min_by(c, F.when(c.isNotNull(), F.struct(rank.alias("rank"), order.alias("order"))))
+    return F.min(F.when(c.isNotNull(), F.struct(rank, order, c.alias("value"))))["value"]
 
 
 def agg_first(c: Column, order: Column) -> Column:
     """First non-null value in input order (AGG-07)."""
-    return F.min_by(c, F.when(c.isNotNull(), order))
+    return F.min(F.when(c.isNotNull(), F.struct(order, c.alias("value"))))["value"]
 
 
 def agg_confidence(confidence: Column, best_method: Column) -> Column:
@@ -63,31 +62,27 @@ def agg_confidence(confidence: Column, best_method: Column) -> Column:
     return F.coalesce(F.max(confidence), F.when(best_method == "siren_direct", F.lit(1.0)))
 
 
-def agg_resolve(value: Column, order: Column, origins: list[str]) -> Column:
-    """Main value of an attribute and its per-origin versions (AGG-06).
+def agg_resolve(value: str, origins: list[str], order: str = "_order") -> Column:
+    """Main value of an attribute column and its per-origin versions (AGG-06).
 
-    ``main`` is the first non-blank value in input order. ``versions`` is null
+    ``main`` is the first non-null value in input order. ``versions`` is null
     unless the group holds several distinct values; then it maps every
     contributing origin to its last value. Values differ exactly when the
-    smallest and the largest do, which needs no distinct count.
+    smallest and the largest do, which needs no distinct count. Order and value
+    travel in one struct, so every aggregate keeps a single buffer.
     """
-    has_value = value.isNotNull()
-    versions = F.map_filter(
-        F.create_map(
-            *[
-                part
-                for o in origins
-                for part in (
-                    F.lit(o),
-                    F.max_by(value, F.when(has_value & (F.col(ORIGIN) == o), order)),
-                )
-            ]
-        ),
-        lambda _, v: v.isNotNull(),
+    if not origins:
+        return F.expr("struct(CAST(NULL AS STRING) AS main, CAST(NULL AS MAP<STRING, STRING>) AS versions)")
+    last = ", ".join(
+        f"'{o}', max(CASE WHEN {value} IS NOT NULL AND {ORIGIN} = '{o}' "
+        f"THEN struct({order}.row, {value} AS value) END).value"
+        for o in origins
     )
-    return F.struct(
-        F.min_by(value, F.when(has_value, order)).alias("main"),
-        F.when(F.min(value) != F.max(value), versions).alias("versions"),
+    return F.expr(
+        f"""struct(
+          min(CASE WHEN {value} IS NOT NULL THEN struct({order}, {value} AS value) END).value AS main,
+          CASE WHEN min({value}) <> max({value})
+               THEN map_filter(map({last}), (origin, version) -> version IS NOT NULL) END AS versions)"""
     )
 
 
@@ -98,6 +93,7 @@ def consolidate(
     passthrough: list[str] = vocab.PASSTHROUGH_COLUMNS,
     origins: list[str] = vocab.ORIGINS,
     row_order: str | None = None,
+    supplied: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """One record per key with provenance, best values and conflicts (AGG-01).
 
@@ -106,7 +102,14 @@ def consolidate(
     ``widen_conflicts``. Columns that no candidate has are null. Without a row
     order the rows of one origin are ordered by a hash of their content, so the
     result never depends on the partitioning.
+
+    ``supplied`` says which attributes each origin can have at all; the others
+    need no aggregate. It changes the cost only.
     """
+    suppliers = {
+        a: [o for o in origins if supplied is None or a in supplied[o]] if a in df.columns else []
+        for a in attributes
+    }
     given = set(df.columns)
 
     def column(name: str, kind: str = "string") -> Column:
@@ -130,13 +133,11 @@ def consolidate(
         agg_set(F.col(ORIGIN)).alias("origines"),
         best_method.alias("methode_jointure"),
         agg_confidence(F.col("confiance_jointure"), best_method).alias("confiance_jointure"),
-        *[agg_resolve(F.col(a), order, origins).alias(f"_{a}") for a in attributes],
+        *[agg_resolve(a, suppliers[a]).alias(f"_{a}") for a in attributes],
         *[agg_first(F.col(c), order).alias(c) for c in passthrough],
     )
-    conflicts = F.map_filter(
-        F.create_map(*[p for a in attributes for p in (F.lit(a), F.col(f"_{a}.versions"))]),
-        lambda _, v: v.isNotNull(),
-    )
+    versions = ", ".join(f"'{a}', _{a}.versions" for a in attributes)
+    conflicts = F.expr(f"map_filter(map({versions}), (attribute, v) -> v IS NOT NULL)")
     return grouped.select(
         key,
         "sources",
@@ -177,7 +178,7 @@ def widen_conflicts(
 ) -> DataFrame:
     """Conflict map as columns ``attribute__origin``, the same set for any data."""
     wide = {
-        f"{a}__{o}": F.try_element_at(F.try_element_at(F.col(CONFLICTS), F.lit(a)), F.lit(o))
+        f"{a}__{o}": F.expr(f"try_element_at(try_element_at({CONFLICTS}, '{a}'), '{o}')")
         for a in attributes
         for o in origins
     }

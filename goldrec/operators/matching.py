@@ -20,8 +20,11 @@ other:
 * The order puts first what makes the fewest meetings: grams rare in both
   tables. Grams the queries never use come before all others and list nothing.
 * A pair of names is kept only at the first gram pair they share, and only if
-  its lengths and its common grams allow the score. That happens inside the
-  join, so nothing is emitted twice and only likely pairs reach the scorer.
+  its lengths, its letters and its common grams allow the score. That happens
+  inside the join, cheapest test first, so nothing is emitted twice and only
+  likely pairs reach the scorer. The letters are compared as sets of bits: the
+  names may differ in ``L - 2 * LCS`` letters, and every bit in which the two
+  sets differ stands for at least one such letter.
 
 Names are compared once per distinct text: copies of a name, however many rows
 they make up, collapse before the join.
@@ -126,15 +129,37 @@ similarity, similarity_score, score_to_confidence = _scoring()
 # -- candidate pairs ----------------------------------------------------------------------
 
 
+def _letters(text: Column) -> Column:
+    """Letters of a text as their places in the alphabet."""
+    return F.transform(F.split(text, ""), lambda ch: F.instr(F.lit(_ALPHABET), ch) - 1)
+
+
 def _codes(text: Column) -> Column:
-    """Two-letter grams of a marked text as numbers below N_GRAMS."""
-    marked = F.concat(F.lit("|"), text, F.lit("|"))
-    letters = F.transform(F.split(marked, ""), lambda ch: F.instr(F.lit(_ALPHABET), ch) - 1)
+    """Two-letter grams of a text with its end marks, as numbers below N_GRAMS."""
+    letters = _letters(F.concat(F.lit("|"), text, F.lit("|")))
     following = F.slice(letters, F.lit(2), F.size(letters) - 1)
     leading = F.slice(letters, F.lit(1), F.size(letters) - 1)
     return F.zip_with(leading, following, lambda a, b: a * _BASE + b)
 
 
+def _numbered(elements: Column, base: int) -> Column:
+    """Elements of a sorted array made distinct: the k-th repeat of v becomes v + k * base."""
+    return F.transform(
+        elements, lambda v, i: v + (i + 1 - F.array_position(elements, v)).cast("int") * base
+    )
+
+
+def _letter_bits(places: Column, word: int) -> Column:
+    """One of the two words of a letter set: a bit per letter and repeat, folded to 128 bits."""
+
+    def flip(bits: Column, place: Column) -> Column:
+        here = F.pmod(place, F.lit(128)) - word * 64
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), here)
+        return F.when((here >= 0) & (here < 64), bits.bitwiseXOR(bit)).otherwise(bits)
+
+    return F.aggregate(places, F.lit(0).cast("bigint"), flip)
+
+
 def _gram_ranks(queries: DataFrame, index: DataFrame) -> tuple[list[int], int]:
     """Place of every gram in the global order, and how many the queries never use.
 
@@ -143,7 +168,8 @@ def _gram_ranks(queries: DataFrame, index: DataFrame) -> tuple[list[int], int]:
     """
 
     def counts(df: DataFrame) -> dict[int, int]:
-        grams = df.select(F.explode("codes").alias("gram")).groupBy("gram").count()
+        plain = F.pmod("gram", F.lit(N_GRAMS)).alias("gram")
+        grams = df.select(F.explode("codes").alias("gram")).groupBy(plain).count()
         return {row["gram"]: row["count"] for row in grams.collect()}
 
     asked, listed = counts(queries), counts(index)
@@ -154,21 +180,20 @@ def _gram_ranks(queries: DataFrame, index: DataFrame) -> tuple[list[int], int]:
     return ranks, sum(1 for g in by_meetings if not asked.get(g, 0) * listed.get(g, 0))
 
 
-def _ordered_grams(codes: Column, ranks: list[int]) -> Column:
+def _ordered_grams(numbered: Column, ranks: list[int]) -> Column:
     """Grams of a name in the global order; a repeated gram counts as a rarer one."""
     table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
-    def place(gram: Column, i: Column) -> Column:
-        repeats = F.size(F.filter(F.slice(codes, F.lit(1), i), lambda other: other == gram))
-        return F.element_at(table, gram + 1) - repeats * N_GRAMS
+    def place(gram: Column) -> Column:
+        plain = F.pmod(gram, F.lit(N_GRAMS))
+        return F.element_at(table, plain + 1) - (gram - plain)
 
-    return F.sort_array(F.transform(codes, place))
+    return F.sort_array(F.transform(numbered, place))
 
 
-def _needed(total: Column, score: float) -> Column:
-    """Grams that two names of this total length must share to reach the score."""
-    common = F.ceil(total * (score / 200) - 1e-9)
-    return common * 3 - total + 1
+def _least_common(total: Column, score: float) -> Column:
+    """Letters that two names of this total length must have in common, in order."""
+    return F.ceil(total * (score / 200) - 1e-9)
 
 
 def _prefix_size(n: Column, score: float) -> Column:
@@ -196,9 +221,8 @@ def _gram_pairs(grams: Column) -> Column:
 
 def listing_bytes(queries: DataFrame, score: float) -> tuple[int, int]:
     """Number of queries and an upper bound of the size of their gram pairs."""
-    n = F.length("sorted")
-    listed = _prefix_size(n, score)
-    size = F.sum(listed * (listed - 1) / 2 * (n * 12 + 100))
+    listed = _prefix_size(F.col("n"), score)
+    size = F.sum(listed * (listed - 1) / 2 * (F.col("n") * 12 + 100))
     count, total = queries.agg(F.count(F.lit(1)), size).first()
     return count, int(total or 0)
 
@@ -209,23 +233,28 @@ def similar_pairs(
     """(text, sorted names, key, ord) of all pairs that may reach the score."""
 
     def listed(df: DataFrame, side: str) -> DataFrame:
-        sorted_name, grams, prefix = F.col("sorted"), F.col(f"{side}_grams"), F.col(f"{side}_prefix")
+        grams, prefix = F.col(f"{side}_grams"), F.col(f"{side}_prefix")
         named = df.withColumn(f"{side}_grams", _ordered_grams(F.col("codes"), ranks)).drop("codes")
-        first = F.slice(grams, F.lit(1), _prefix_size(F.length(sorted_name), score))
+        first = F.slice(grams, F.lit(1), _prefix_size(F.col("n"), score))
         can_meet = F.filter(first, lambda g: F.pmod(g, F.lit(N_GRAMS)) >= unused)
         short = named.withColumn(f"{side}_prefix", can_meet)
         own = [F.col(c).alias(f"{side}_{c}") for c in df.columns if c != "codes"]
         return short.select(F.explode(_gram_pairs(prefix)).alias("pair"), *own, grams, prefix)
 
     q, x = listed(queries, "q"), listed(index, "x")
-    total = F.length("q_sorted") + F.length("x_sorted")
-    shorter = F.least(F.length("q_sorted"), F.length("x_sorted"))
+    total = F.col("q_n") + F.col("x_n")
+    shorter = F.least("q_n", "x_n")
+    least = _least_common(total, score)
+    differing = F.bit_count(F.col("q_low").bitwiseXOR(F.col("x_low"))) + F.bit_count(
+        F.col("q_high").bitwiseXOR(F.col("x_high"))
+    )
     shared = F.array_intersect("q_prefix", "x_prefix")
     meets = (
         (q["pair"] == x["pair"])
-        & (shorter * 200 >= total * score - 1e-6)
+        & (shorter >= least)
+        & (differing <= total - least * 2)
         & (_pair_code(F.try_element_at(shared, F.lit(1)), F.try_element_at(shared, F.lit(2))) == q["pair"])
-        & (F.size(F.array_intersect("q_grams", "x_grams")) >= _needed(total, score))
+        & (F.size(F.array_intersect("q_grams", "x_grams")) >= least * 3 - total + 1)
     )
     joined = x.join(F.broadcast(q) if broadcast else q, meets)
     return joined.select("q_text", "q_sorted", "x_sorted", "x_key", "x_ord")
@@ -257,7 +286,18 @@ def fuzzy_lookup(
 
     def prepare(df: DataFrame, *columns: str) -> DataFrame:
         ordered = df.withColumn("sorted", sort_tokens(F.col(columns[0])))
-        return ordered.select(*columns, "sorted", _codes(F.col("sorted")).alias("codes"))
+        spelled = ordered.select(
+            *columns,
+            "sorted",
+            F.length("sorted").alias("n"),
+            F.sort_array(_codes(F.col("sorted"))).alias("codes"),
+            F.sort_array(_letters(F.col("sorted"))).alias("letters"),
+        )
+        numbered = spelled.withColumns(
+            {"codes": _numbered(F.col("codes"), N_GRAMS), "letters": _numbered(F.col("letters"), _BASE)}
+        )
+        bits = {side: _letter_bits(F.col("letters"), word) for word, side in enumerate(("low", "high"))}
+        return numbered.withColumns(bits).drop("letters")
 
     names = stage(prepare(index, "norm", "key", "ord"), "index-names")
     open_texts = stage(prepare(texts, "text"), "query-names")

@@ -12,13 +12,13 @@ from goldrec.operators.quality import completeness
 from goldrec.session import stage
 
 
-def union_candidates(
+def shape_candidates(
     candidates: dict[str, DataFrame], renames: dict[str, dict[str, str]] = vocab.ORIGIN_RENAMES
-) -> DataFrame:
-    """All candidate tables in one shape (SET-01)."""
-    return union_all(
-        [normalize_candidate(df, origin, renames.get(origin, {})) for origin, df in candidates.items()]
-    )
+) -> dict[str, DataFrame]:
+    """All candidate tables in one shape."""
+    return {
+        origin: normalize_candidate(df, origin, renames.get(origin, {})) for origin, df in candidates.items()
+    }
 
 
 def consolidate_candidates(
@@ -27,8 +27,12 @@ def consolidate_candidates(
     row_order: str | None = None,
 ) -> DataFrame:
     """One derived golden record per key (PIPE-05). The order of the dict is the input order."""
+    shaped = shape_candidates(candidates, renames)
     records = consolidate(
-        union_candidates(candidates, renames), origins=list(candidates), row_order=row_order
+        union_all(list(shaped.values())),
+        origins=list(shaped),
+        row_order=row_order,
+        supplied={origin: df.columns for origin, df in shaped.items()},
     )
     return derive(records)
 
