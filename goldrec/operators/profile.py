@@ -148,9 +148,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     sizes = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
     accuracy = int(min(max(10_000, max(sizes, default=0) // 250_000), 10_000_000))
-    margin = 2.0 / accuracy
-    asked = [q for p in probs for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    bounds = numbers.agg(*[F.percentile_approx(c, asked, accuracy).alias(c) for c in columns]).first()
+
+    def around(n: int) -> list[float]:
+        # the sketch may be off by n / accuracy places; the answer lies between two neighbours
+        margin = 2.0 / accuracy + 2.0 / max(n, 1)
+        return [q for p in probs for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
+
+    bounds = numbers.agg(
+        *[F.percentile_approx(c, around(sizes[i]), accuracy).alias(c) for i, c in enumerate(columns)]
+    ).first()
     targets = []
     for i, c in enumerate(columns):
         if not sizes[i]:
