@@ -177,8 +177,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
         )
         for n, (c, _, _, _, lo, hi) in enumerate(targets)
     ]
+    enclosed = reduce(
+        Column.__or__, [F.col(c).between(lo, hi) for c, _, _, _, lo, hi in targets], F.lit(False)
+    )
     kept = (
-        numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("hit"))
+        numbers.where(enclosed)
+        .select(F.explode(F.array_compact(F.array(*inside))).alias("hit"))
         .groupBy("hit.target", "hit.v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
