@@ -26,7 +26,8 @@ ASCII_SPELLING = {
 _DECOMPOSED_RANGES = [(0xAA, 0x24F), (0x2070, 0x209C), (0x1E00, 0x1EFF), (0xFF01, 0xFF5E)]
 _DROPPED_RANGES = [(0x300, 0x36F), (0xAD, 0xAD), (0x200B, 0x200F), (0xFEFF, 0xFEFF)]
 
-WHITESPACE_EDGES = r"^\s+|\s+$"
+# every character that counts as white space
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 @lru_cache(maxsize=1)
@@ -66,22 +67,22 @@ def normalize_name(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove every kind of white space from both ends (STR-04)."""
-    return F.regexp_replace(c, WHITESPACE_EDGES, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def is_blank(c: Column) -> Column:
     """Null, empty or white space only. Always true or false."""
-    return c.isNull() | ~c.cast("string").rlike(r"\S")
+    return F.coalesce(strip(c.cast("string")) == "", F.lit(True))
 
 
 def blank_to_null(c: Column) -> Column:
     """Stripped text, or null when nothing is left."""
-    return F.when(~is_blank(c), strip(c.cast("string")))
+    return F.nullif(strip(c.cast("string")), F.lit(""))
 
 
 def zero_pad(c: Column, width: int) -> Column:
-    """Left-pad with zeros; longer text is kept whole (bare ``lpad`` would cut it)."""
-    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
+    """Left-pad with zeros; longer text is kept whole (``lpad`` to the bare width would cut it)."""
+    return F.lpad(c, F.greatest(F.length(c), F.lit(width)), F.lit("0"))
 
 
 def canonical_key(c: Column, width: int = 9) -> Column:

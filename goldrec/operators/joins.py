@@ -16,14 +16,18 @@ from goldrec.functions.text import canonical_key
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
-    """Every key holding at least ``share`` of the rows (and maybe a few others).
+    """The keys that hold at least ``share`` of the rows, 1/share of them at most.
 
-    The frequent-items sketch keeps at most 1/share keys per task, so what
-    reaches the driver is bounded whatever the table holds. A key listed by
-    mistake only takes the other join path.
+    A frequent-items sketch, bounded by 1/share keys per task whatever the table
+    holds, names every such key and maybe others; these are then counted.
     """
-    found = df.where(F.col(key).isNotNull()).freqItems([key], share).first()
-    return list(found[0] or [])
+    keys = df.select(key).where(F.col(key).isNotNull())
+    named = keys.freqItems([key], share).first()[0]
+    if not named:
+        return []
+    counted = keys.groupBy(F.when(F.col(key).isin(named), F.col(key)).alias("k")).count().collect()
+    total = sum(row["count"] for row in counted)
+    return sorted(row["k"] for row in counted if row["k"] is not None and row["count"] >= share * total)
 
 
 def join_unique(
@@ -34,13 +38,15 @@ def join_unique(
     The rows of the hot keys meet a broadcast of at most ``len(hot)`` rows and
     stay where they are; all others take the ordinary join.
     """
+    keyed = df.withColumn("_join_key", left_key)
     if not hot:
-        return df.join(right, left_key == right[right_key], how)
-    is_hot = F.coalesce(left_key.isin(hot), F.lit(False))
+        return keyed.join(right, keyed["_join_key"] == right[right_key], how).drop("_join_key")
+    is_hot = F.coalesce(F.col("_join_key").isin(hot), F.lit(False))
     few = F.broadcast(right.where(right[right_key].isin(hot)))
-    usual = df.where(~is_hot).join(right, left_key == right[right_key], how)
-    spread = df.where(is_hot).join(few, left_key == few[right_key], how)
-    return usual.unionByName(spread)
+    usual, spread = keyed.where(~is_hot), keyed.where(is_hot)
+    usual = usual.join(right, usual["_join_key"] == right[right_key], how)
+    spread = spread.join(few, spread["_join_key"] == few[right_key], how)
+    return usual.unionByName(spread).drop("_join_key")
 
 
 def key_list(df: DataFrame, column: str, width: int = 9) -> DataFrame:

@@ -328,10 +328,10 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     one unit wide around the value.
     """
     v = F.col(column).cast("double")
-    low, high = (df.agg(f(v)).scalar() for f in (F.min, F.max))
-    flat = low == high
-    start = F.when(flat, low - 0.5).otherwise(low)
-    width = F.when(flat, F.lit(1.0 / bins)).otherwise((high - low) / bins)
+    low, high = df.agg(F.min(v), F.max(v)).first()
+    flat = low is not None and low == high
+    start = F.lit(None if low is None else low - 0.5 if flat else low).cast("double")
+    width = F.lit(None if low is None else 1.0 / bins if flat else (high - low) / bins).cast("double")
     index = F.least(F.floor((v - start) / width), F.lit(bins - 1)).cast("int")
     counts = df.where(v.isNotNull()).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))

@@ -74,7 +74,8 @@ def skewed(spark):
 
 
 def test_hot_keys_are_found(spark):
-    assert "000000007" in joins.hot_keys(skewed(spark), "siren", 0.1)
+    assert joins.hot_keys(skewed(spark), "siren", 0.1) == ["000000007"]
+    assert joins.hot_keys(skewed(spark).limit(0), "siren") == []
 
 
 def test_joins_with_and_without_hot_keys_agree(spark):
