@@ -23,7 +23,7 @@ def flatten_for_text(df: DataFrame) -> DataFrame:
 def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file: int = 0) -> None:
     """Delimited text with header (SNK-01, SNK-03), one file per task, UTF-8 without BOM (SNK-02).
 
-    Empty text is written as "" and null as nothing, so both survive a round trip.
+    Empty text is written as "" and null as nothing; ``read_delimited`` gives null for both.
     """
     (
         flatten_for_text(df)
@@ -32,7 +32,6 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file:
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .option("emptyValue", '""')
         .option("maxRecordsPerFile", max_rows_per_file)
         .csv(path)
     )

@@ -75,7 +75,8 @@ def test_round_trip_and_overwrite(spark, tmp_path):
     writers.write_delimited(df, path, ";")
     back = readers.read_delimited(spark, path, sep=";")
     got = {r.b: (r.a, r.c) for r in back.collect()}
-    assert got == {"é": ("", ""), None: ('a;"b"', "y|x")}
+    assert got == {"é": (None, None), None: ('a;"b"', "y|x")}
+    assert '"";é;""' in "".join(r.value + "\n" for r in spark.read.text(path).collect())
 
 
 def test_filter_and_columns_reach_the_scan(spark, tmp_path):
