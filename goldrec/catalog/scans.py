@@ -7,9 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldrec import vocab
 from goldrec.catalog import roles
 from goldrec.catalog.registry import query
 from goldrec.catalog.roles import WITH_ROLES, table
+from goldrec.functions.text import full_name
+from goldrec.operators.joins import keep_listed
 from goldrec.session import scratch_path
 from goldrec.sources import readers, writers
 
@@ -83,6 +86,20 @@ def _(spark, sf):
     return kept.select("o_orderkey", "o_custkey")
 
 
+@query(
+    "src07_catch_all_code",
+    f"""WITH {WITH_ROLES} SELECT siren, coalesce(denominationUniteLegale,
+      nullif(trim(concat_ws(' ', nomUniteLegale, prenom1UniteLegale)), '')) AS nom_complet
+    FROM registry WHERE {roles.NAF} = '{vocab.CATCH_ALL_NAF}' AND siren IN (SELECT k FROM list_a)""",
+)
+def _(spark, sf):
+    """Listed organisations behind the catch-all activity code, with their full name."""
+    rows = roles.registry(spark, sf).where(F.col(roles.NAF) == vocab.CATCH_ALL_NAF)
+    listed = keep_listed(rows, roles.list_a(spark, sf), "siren", "SIREN")
+    name = full_name(F.col("denominationUniteLegale"), F.col("nomUniteLegale"), F.col("prenom1UniteLegale"))
+    return listed.select("siren", name.alias("nom_complet"))
+
+
 @query("src08_point_lookup", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey = 42")
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")

@@ -39,7 +39,6 @@ SOURCES = [
     "label_inr",
     "label_bcorp",
     "label_lucie",
-    "soga",
     "avise",
     "ngi",
 ]

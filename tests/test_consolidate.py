@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from goldrec import vocab
 from goldrec.operators import consolidate as C
