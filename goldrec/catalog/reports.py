@@ -9,7 +9,7 @@ from goldrec.catalog import roles
 from goldrec.catalog.golden import SCORE_SQL, enriched_records
 from goldrec.catalog.registry import query
 from goldrec.catalog.roles import FORM, NAF, WITH_ROLES, enriched_ctes, golden_ctes, sql_in, table
-from goldrec.functions.text import is_blank
+from goldrec.functions.text import canonical_key, is_blank
 from goldrec.operators import joins, profile, quality
 from goldrec.operators.filters import legal_form_in
 from goldrec.plans import golden
@@ -169,7 +169,7 @@ def _(spark, sf):
 @query(
     "agg17_funnel",
     f"""WITH {enriched_ctes()}, keys AS (SELECT siren FROM cand1 UNION ALL SELECT siren FROM cand2
-      UNION ALL SELECT siren FROM cand4)
+      UNION ALL SELECT siren FROM cand4 UNION ALL SELECT {roles.sql_key("siren")} FROM places)
     SELECT '1 candidates, raw' AS step, count(*) AS n FROM keys
     UNION ALL SELECT '2 candidates, distinct keys', count(DISTINCT siren) FROM keys
     UNION ALL SELECT '3 consolidated', count(*) FROM derived
@@ -180,7 +180,7 @@ def _(spark, sf):
     tables = roles.candidate_tables(spark, sf)
     records = stage(golden.consolidate_candidates(tables).drop("conflicts"), "consolidated")
     enriched = stage(golden.enrich_records(records, roles.periods(spark, sf)), "enriched")
-    keyed = [tables[o].select("siren") for o in ("ess_x_naf", "cate_x_naf", "ess_flag_insee")]
+    keyed = [df.select(canonical_key(F.col("siren")).alias("siren")) for df in tables.values()]
     return profile.funnel(keyed, records, enriched, golden.export_records(enriched), "siren")
 
 

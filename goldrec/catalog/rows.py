@@ -275,13 +275,14 @@ def _(spark, sf):
     f"""WITH {WITH_CANDIDATES}
     SELECT siren, {NAF}, NULL AS group_cate, sources FROM cand1
     UNION ALL SELECT siren, {NAF}, group_cate, sources FROM cand2
-    UNION ALL SELECT siren, {NAF}, NULL, sources FROM cand4""",
+    UNION ALL SELECT siren, {NAF}, NULL, sources FROM cand4
+    UNION ALL SELECT siren, NULL, NULL, sources FROM places""",
 )
 def _(spark, sf):
     tables = roles.candidate_tables(spark, sf)
     wanted = ["siren", NAF, "group_cate", "sources"]
     return consolidate.union_all(
-        [filters.select_present(tables[o], wanted) for o in ("ess_x_naf", "cate_x_naf", "ess_flag_insee")]
+        [filters.select_present(df, wanted) for df in tables.values()]
     ).select(*wanted)
 
 

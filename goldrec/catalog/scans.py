@@ -48,14 +48,25 @@ def _(spark, sf):
     return readers.read_delimited(spark, path, ["ID_UNIQUE", "NOM", "NOM_STRC_PORT", "CODPOST"], ";")
 
 
-@query("src04_preamble", f"WITH {WITH_ROLES} SELECT * FROM projects")
+_LOOKALIKES = [["sep=abc", "x", None, None, "France"], ["title", "website", "Category", "Project", "Country"]]
+
+
+@query(
+    "src04_preamble",
+    f"""WITH {WITH_ROLES} SELECT title, website, "Category", "Project", "Country" FROM projects
+    UNION ALL VALUES ('sep=abc', 'x', NULL, NULL, 'France'), ('title', 'website', 'Category', 'Project', 'Country')""",
+)
 def _(spark, sf):
-    projects = roles.role(spark, sf, "pages", roles.PROJECTS)
-    lines = projects.select(F.to_csv(F.struct("*"), {"escape": '"'}).alias("value"))
-    head = spark.createDataFrame([("sep=,",), (",".join(projects.columns),)], "value string")
+    """Every file has the preamble; rows that look like it are data."""
+    names = ["title", "website", "Category", "Project", "Country"]
+    projects = roles.role(spark, sf, "pages", roles.PROJECTS).select(*names)
+    rows = projects.unionAll(spark.createDataFrame(_LOOKALIKES, ", ".join(f"{n} string" for n in names)))
+    line = F.to_csv(F.struct("*"), {"escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    opens_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    head = F.lit("sep=,\n" + ",".join(names) + "\n")
     path = scratch_path(spark, "preamble")
-    head.unionAll(lines).write.text(path)
-    return readers.read_with_preamble(spark, path, projects.columns)
+    rows.select(F.when(opens_file, F.concat(head, line)).otherwise(line).alias("value")).write.text(path)
+    return readers.read_with_preamble(spark, path, names)
 
 
 @query("src05_optional_input", f'WITH {WITH_ROLES} SELECT k AS "SIREN" FROM list_a')
@@ -141,12 +152,11 @@ def _(spark, sf):
 
 @query(
     "snk02_text_round_trip",
-    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(replace(text, chr(10), ' / ')) AS digest FROM documents",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS digest FROM documents",
 )
 def _(spark, sf):
-    """Accents, quotes and separators survive the UTF-8 text sink."""
-    one_line = F.replace("text", F.lit("\n"), F.lit(" / "))
-    docs = table(spark, sf, "documents").select("doc_id", one_line.alias("text"))
+    """Accents, quotes, separators and line breaks survive the UTF-8 text sink."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     back = readers.read_delimited(spark, _as_text_file(docs))
     return back.select("doc_id", F.md5("text").alias("digest"))
 

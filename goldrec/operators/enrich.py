@@ -40,12 +40,18 @@ def registry_for_keys(
 ) -> DataFrame:
     """Latest registry row of each wanted key (ENR-03).
 
-    The semi-join comes first: only the wanted keys are ranked.
+    The minimum of (order, row) is the latest row; it is taken in each map task first, so a key
+    with many periods ships one row per task. The semi-join then sees one row per key.
     """
-    wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_wanted")).distinct()
-    subset = registry.select(*dict.fromkeys([key, date, *columns, *ties]))
-    subset = join_unique(subset, wanted, F.col(key), "_wanted", "left_semi", hot)
-    return latest_per_key(subset, key, lenient_timestamp(F.col(date)), *ties)
+    wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_wanted"))
+    names = list(dict.fromkeys([key, date, *columns, *ties]))
+    when = lenient_timestamp(F.col(date))
+    order = F.struct(when.isNull().alias("undated"), (-F.unix_micros(when)).alias("age"), *ties)
+    newest = registry.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min(F.struct(order.alias("order"), F.struct(*names).alias("row"))).alias("_least")
+    )
+    found = join_unique(newest, wanted, F.col(key), "_wanted", "left_semi", hot)
+    return found.select(*[F.col(f"_least.row.{n}").alias(n) for n in names])
 
 
 def trace_columns(target: str) -> tuple[str, str]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 from pyspark.sql import Column, DataFrame
@@ -99,11 +98,10 @@ def review_table(df: DataFrame, columns: list[str | Column], entry: str = "siren
 
 
 def clean_column_name(name: str) -> str:
-    """Lower-case ASCII identifier of a header (PRJ-08)."""
-    text = str(name).replace("->", " ").strip()
-    text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
-    words = re.sub(r"[^0-9a-z_]", "", re.sub(r"\s+", "_", text))
-    return re.sub(r"_{2,}", "_", words).strip("_")
+    """Lower-case ASCII identifier of a header (PRJ-08): its words, each without other characters, joined by '_'."""
+    letters = unicodedata.normalize("NFKD", str(name).replace("->", " ")).encode("ascii", "ignore").decode()
+    parts = ["".join(c for c in part if c.isalnum()) for part in letters.lower().replace("_", " ").split()]
+    return "_".join(part for part in parts if part)
 
 
 def number_repeats(names: list[str]) -> list[str]:

@@ -19,21 +19,30 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
+#: Stands for a field with nothing between its separators; U+FFFF is no character, so no text holds it.
+_NOTHING = "\uffffnull\uffff"
+#: Every character of a value is data: outer blanks, line breaks, quotes. A field "" is an empty text, an absent one null.
+LOSSLESS_READ = {
+    "quote": '"',
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": _NOTHING,
+    "emptyValue": "",
+    "maxCharsPerColumn": -1,
+}
+
+
 def read_delimited(
     spark: SparkSession, path: str, columns: list[str] | None = None, sep: str = ","
 ) -> DataFrame:
     """Delimited text with a header line, every column as text (SRC-02, SRC-03).
 
-    Without ``inferSchema`` Spark reads the header only, and all columns are strings.
+    Without ``inferSchema`` Spark reads the header only, and all columns are strings. A value may
+    hold line breaks, so a file is read by one task; write many files where a table is large.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("multiLine", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    df = spark.read.options(**LOSSLESS_READ).option("header", True).option("sep", sep).csv(path)
     return df.select(*columns) if columns else df
 
 
@@ -42,14 +51,17 @@ def read_with_preamble(
 ) -> DataFrame:
     """Delimited text whose first line is 'sep=,' and second line the header (SRC-04).
 
-    Both lines are recognised by their content, so the scan stays splittable.
+    The first two records of each file are left out, whatever they hold, and no others.
     """
-    lines = spark.read.text(path)
-    header = sep.join(columns)
-    unquoted = F.replace(F.col("value"), F.lit('"'), F.lit(""))
-    body = lines.where(~F.col("value").startswith("sep=") & (unquoted != header))
-    row = F.from_csv("value", ", ".join(f"`{c}` STRING" for c in columns), {"sep": sep, "escape": '"'})
-    return body.select(row.alias("row")).select("row.*")
+    # the preamble is one field, so all columns are read even if few are wanted
+    records = (
+        spark.read.schema(text_schema(columns)).options(**LOSSLESS_READ).option("header", False)
+        .option("sep", sep).option("enforceSchema", True).csv(path)
+        .select(*[f"`{c}`" for c in columns], F.col("_metadata.file_path").alias("_file"))
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
+    first = records.groupBy("_file").agg(F.min("_place").alias("_first"))
+    return records.join(first, "_file").where(F.col("_place") > F.col("_first") + 1).select(*[f"`{c}`" for c in columns])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -20,10 +20,11 @@ def flatten_for_text(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file: int = 0) -> None:
+def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file: int = 1_000_000) -> None:
     """Delimited text with header (SNK-01, SNK-03), one file per task, UTF-8 without BOM (SNK-02).
 
-    Empty text is written as "" and null as nothing; ``read_delimited`` gives null for both.
+    Values are written as they are. Empty text is written as "" and null as nothing, and
+    ``read_delimited`` tells them apart. ``max_rows_per_file`` keeps files of a large table readable in parallel.
     """
     (
         flatten_for_text(df)
@@ -32,6 +33,10 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file:
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
+        .option("emptyValue", '""')
+        .option("lineSep", "\n")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", max_rows_per_file)
         .csv(path)
     )

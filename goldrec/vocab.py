@@ -39,6 +39,7 @@ SOURCES = [
     "label_inr",
     "label_bcorp",
     "label_lucie",
+    "soga",
     "avise",
     "ngi",
 ]
@@ -100,8 +101,26 @@ LEGAL_FORM_FAMILY = {
 
 LEGAL_FORM_TIER_1 = ["9220", "6316", "6317", "6318", "9300"]
 LEGAL_FORM_TIER = {
-    code: "group_cate_1" if code in LEGAL_FORM_TIER_1 else "group_cate_2"
-    for code in LEGAL_FORM_FAMILY
+    "9210": "group_cate_2",
+    "9220": "group_cate_1",
+    "9221": "group_cate_2",
+    "9222": "group_cate_2",
+    "9230": "group_cate_2",
+    "9240": "group_cate_2",
+    "9260": "group_cate_2",
+    "5458": "group_cate_2",
+    "5547": "group_cate_2",
+    "5558": "group_cate_2",
+    "5560": "group_cate_2",
+    "6316": "group_cate_1",
+    "6317": "group_cate_1",
+    "6318": "group_cate_1",
+    "8210": "group_cate_2",
+    "8250": "group_cate_2",
+    "8290": "group_cate_2",
+    "9300": "group_cate_1",
+    "9310": "group_cate_2",
+    "9900": "group_cate_2",
 }
 
 # -- code lists used by the candidate filters ------------------------------------

@@ -27,6 +27,23 @@ def test_preamble(spark, tmp_path):
     assert sorted(tuple(r) for r in rows) == [("a, b", "France"), ("c", None)]
 
 
+def test_preamble_is_two_records_and_no_more(spark, tmp_path):
+    lines = 'sep=,\ntitle,site\n"sep=abc",http\ntitle,site\n"two\nlines",b\n'
+    for name in ("1.csv", "2.csv"):
+        write(tmp_path / name, lines)
+    rows = readers.read_with_preamble(spark, str(tmp_path), ["title", "site"]).collect()
+    assert sorted(tuple(r) for r in rows) == sorted(2 * [("sep=abc", "http"), ("title", "site"), ("two\nlines", "b")])
+
+
+def test_text_survives_the_file(spark, tmp_path):
+    values = [" lead trail ", "two\nlines", "", None, "cr\rhere", "crlf\r\nx", 'q"uo"te', "back\\slash", "\\", '"', "a,b;c", "\tx\t", "\n", " ", '""', "\\N"]
+    df = spark.createDataFrame([(str(i), v, v) for i, v in enumerate(values)], "i string, v string, w string")
+    for sep in ",;":
+        writers.write_delimited(df, str(tmp_path / "t"), sep)
+        got = {r.i: (r.v, r.w) for r in readers.read_delimited(spark, str(tmp_path / "t"), sep=sep).collect()}
+        assert got == {str(i): (v, v) for i, v in enumerate(values)}
+
+
 def test_optional_input(spark, tmp_path):
     absent = readers.read_optional(spark, str(tmp_path / "none.csv"), ["siren", "x"])
     assert absent.columns == ["siren", "x"] and absent.count() == 0
@@ -75,7 +92,7 @@ def test_round_trip_and_overwrite(spark, tmp_path):
     writers.write_delimited(df, path, ";")
     back = readers.read_delimited(spark, path, sep=";")
     got = {r.b: (r.a, r.c) for r in back.collect()}
-    assert got == {"é": (None, None), None: ('a;"b"', "y|x")}
+    assert got == {"é": ("", ""), None: ('a;"b"', "y|x")}
     assert '"";é;""' in "".join(r.value + "\n" for r in spark.read.text(path).collect())
 
 
