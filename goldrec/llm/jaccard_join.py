@@ -8,6 +8,7 @@
   for the symmetric difference). So the window of x spans its first n // 5 + 1 shingles, and two linked texts share
   one of these regions. The order puts shingles that few documents hold first; counts over the whole corpus,
   kept in a table of fixed size, decide. Any order is exact; this one keeps regions of common passages empty.
+  Texts of a region whose sizes are too far apart are not tied.
 * Regions that overlap are fused into **cells** (components of the candidate graph), so a text travels once.
 * **Below, documents as pivots.** A cell is split into Voronoi regions; x also enters the region of a later
   pivot q if d(x, q) - d(x, home) <= 2 EPS, which holds for every x within EPS of a text at home there. Regions
@@ -36,6 +37,8 @@ from goldrec.session import stage
 PART, SHARE = 100, 80
 EPS = 1 - SHARE / PART
 U = np.uint64
+#: Sizes are compared in steps of 1.25 ** (1 / SIZE_STEPS); linked sets lie at most one factor of 1.25 apart.
+SIZE_BITS, SIZE_STEPS = 12, 8
 #: Counters of the shingle table, and the row groups it is merged in.
 SLOT_BITS, PART_BITS = 25, 6
 #: Shingles a cell may hold to be joined in one task.
@@ -117,16 +120,16 @@ def shingle_levels(docs: DataFrame) -> np.ndarray:
     return table
 
 
-def _star(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Position of the first row of each row's run of equal sorted keys."""
+def _star(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a row of sorted keys is the first of its run, and where that first row is."""
     first = np.concatenate(([True], keys[1:] != keys[:-1]))
     return first, np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
 
 
 def _windows(levels):
-    """Rows (key, node): a text enters the region of each shingle in its window.
+    """Rows (key, node): a text enters the region of each shingle in its window. A key is the shingle and the size class.
 
-    Of the texts of one batch in one region only the first is sent on; the others are tied to it by a region of their own.
+    Of the texts of one batch in one region and class only the first is sent on; the others are tied to it by a region of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,17 +145,18 @@ def _windows(levels):
                 order = np.argsort((row.astype(U) << U(HASH_ROW)) | (level << U(HASH_ROW - 8)) | (words.mix(hashes) >> U(72 - HASH_ROW)))
                 rank = np.arange(len(row)) - bounds[:-1][row]
                 take = order[rank < (sizes // 5 + 1)[row]]
-                keys.append(hashes[take].view(np.int64))
+                step = (SIZE_STEPS * np.log(np.maximum(sizes, 1)) / np.log(PART / SHARE)).astype(U)
+                keys.append(((hashes[take] << U(SIZE_BITS)) | step[row[take]]).view(np.int64))
                 nodes.append(node[row[take]])
             if not keys or not sum(map(len, keys)):
                 continue
             k, v = np.concatenate(keys), np.concatenate(nodes)
             order = np.lexsort((v, k))
             k, v = k[order], v[order]
-            first, at = _star(k, v)
+            first, at = _star(k)
             tied = ~first & (v != v[at])
             pairs = np.unique(np.stack((v[at][tied], v[tied]), 1), axis=0)
-            own = (words.mix(pairs[:, 0].view(U) * U(3) + pairs[:, 1].view(U)) | U(1 << 63)).view(np.int64)
+            own = (words.mix(pairs[:, 0].view(U) * U(3) + pairs[:, 1].view(U)) >> U(SIZE_BITS) << U(SIZE_BITS)).view(np.int64)
             yield pa.record_batch([np.concatenate((k[first], own, own)), np.concatenate((v[first], pairs[:, 0], pairs[:, 1]))], ["key", "node"])
 
     return run
@@ -163,17 +167,23 @@ HASH_ROW = 52
 
 
 def _tie_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate edges of regions that arrive sorted by key: each text with the first of its region."""
+    """Candidate edges of regions that arrive sorted by key: each text with the first of its run.
+
+    A run ends with its shingle, or where the next size is too far from the last one for any link across.
+    """
     last_key, hub = None, None
     for batch in batches:
         k, v = (np.asarray(c) for c in batch.columns)
         if not len(k):
             continue
-        first, at = _star(k, v)
+        shingle, step = k >> SIZE_BITS, k & ((1 << SIZE_BITS) - 1)
+        first = np.ones(len(k), bool)
+        first[1:] = (shingle[1:] != shingle[:-1]) | (step[1:] - step[:-1] > SIZE_STEPS + 1)
+        at = np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))
         hubs = v[at]
-        if last_key is not None and k[0] == last_key:
-            hubs[k == last_key] = hub
-        last_key, hub = k[-1], hubs[-1]
+        if last_key is not None and shingle[0] == last_key >> SIZE_BITS and step[0] - (last_key & ((1 << SIZE_BITS) - 1)) <= SIZE_STEPS + 1:
+            hubs[at == 0] = hub
+        last_key, hub = int(k[-1]), hubs[-1]
         tied = hubs != v
         pairs = np.unique(np.stack((hubs[tied], v[tied]), 1), axis=0)
         yield pa.record_batch([pairs[:, 0], pairs[:, 1]], ["a", "b"])
@@ -182,7 +192,7 @@ def _tie_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidate_cells(docs: DataFrame, levels) -> DataFrame:
     """(node, label): texts that may link share a label; texts without candidates are left out."""
     rows = docs.select("text").mapInArrow(_windows(levels), "key long, node long")
-    edges = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_tie_regions, "a long, b long")
+    edges = rows.repartition(F.shiftright("key", SIZE_BITS)).sortWithinPartitions("key").mapInArrow(_tie_regions, "a long, b long")
     return connected_components(edges)
 
 
@@ -330,7 +340,7 @@ def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.array(nodes)
             # the smallest node stands for its group in this cell
             order = np.lexsort((ids, group))
-            first, at = _star(group[order], ids)
+            first, at = _star(group[order])
             hub = ids[order][at]
             a.extend(hub[~first])
             b.extend(ids[order][~first])
