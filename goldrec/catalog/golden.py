@@ -209,7 +209,6 @@ def _(spark, sf):
         "dateDebut",
         ["nicSiegeUniteLegale", NAF],
         "nicSiegeUniteLegale",
-        hot=joins.hot_keys(registry, "siren"),
     )
 
 

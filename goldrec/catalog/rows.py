@@ -216,8 +216,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = roles.periods(spark, sf).select("siren", "dateDebut", "nicSiegeUniteLegale")
-    hot = joins.hot_keys(rows, "siren")
-    return joins.keep_listed(rows, roles.list_b(spark, sf), "siren", "key", hot)
+    return joins.keep_listed(rows, roles.list_b(spark, sf), "siren", "key")
 
 
 @query(
@@ -233,12 +232,11 @@ def _(spark, sf):
     "join03_left",
     f"""WITH {WITH_ROLES} SELECT p.siren, p.nicSiegeUniteLegale, r.nomUniteLegale, r.{NAF}
     FROM (SELECT siren, nicSiegeUniteLegale FROM periods) p
-    LEFT JOIN (SELECT * FROM registry WHERE etatAdministratifUniteLegale = 'A') r ON p.siren = r.siren""",
+    LEFT JOIN registry r ON p.siren = r.siren""",
 )
 def _(spark, sf):
     rows = roles.periods(spark, sf).select("siren", "nicSiegeUniteLegale")
-    active = roles.registry(spark, sf).where("etatAdministratifUniteLegale = 'A'")
-    return joins.attach(rows, active, "siren", ["nomUniteLegale", NAF], joins.hot_keys(rows, "siren"))
+    return joins.attach(rows, roles.registry(spark, sf), "siren", ["nomUniteLegale", NAF])
 
 
 @query(

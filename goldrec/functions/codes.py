@@ -20,13 +20,12 @@ def code_text(c: Column) -> Column:
 
 def literal_map(mapping: dict[str, str]) -> Column:
     """A small fixed dictionary as one constant of the plan."""
-    pairs = ", ".join(f"'{k}', '{v}'" for k, v in mapping.items())
-    return F.expr(f"map({pairs})")
+    return F.create_map(*[F.lit(part) for pair in mapping.items() for part in pair])
 
 
 def literal_list(values: list[str]) -> Column:
     """A small fixed list as one constant of the plan."""
-    return F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")")
+    return F.array(*[F.lit(v) for v in values])
 
 
 def lookup(mapping: dict[str, str], c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import unicodedata
 from functools import lru_cache
 
@@ -113,7 +115,7 @@ def full_name(name: Column, last: Column, first: Column) -> Column:
 
 def contains_any(c: Column, words: list[str]) -> Column:
     """Any of the words inside the upper-cased text; null gives false (FLT-08)."""
-    pattern = "|".join(words)
+    pattern = "|".join(re.escape(w) for w in words)
     return F.coalesce(F.upper(c).rlike(pattern), F.lit(False))
 
 

@@ -73,17 +73,15 @@ def agg_resolve(value: str, origins: list[str], order: str = "_order") -> Column
     """
     if not origins:
         return F.expr("struct(CAST(NULL AS STRING) AS main, CAST(NULL AS MAP<STRING, STRING>) AS versions)")
-    last = ", ".join(
-        f"'{o}', max(CASE WHEN {value} IS NOT NULL AND {ORIGIN} = '{o}' "
-        f"THEN struct({order}.row, {value} AS value) END).value"
-        for o in origins
-    )
-    return F.expr(
-        f"""struct(
-          min(CASE WHEN {value} IS NOT NULL THEN struct({order}, {value} AS value) END).value AS main,
-          CASE WHEN min({value}) <> max({value})
-               THEN map_filter(map({last}), (origin, version) -> version IS NOT NULL) END AS versions)"""
-    )
+    v = F.col(value)
+
+    def last(origin: str) -> Column:
+        given = F.when(v.isNotNull() & (F.col(ORIGIN) == origin), F.struct(F.col(f"{order}.row"), v.alias("value")))
+        return F.max(given)["value"]
+
+    versions = F.create_map(*[part for o in origins for part in (F.lit(o), last(o))])
+    differ = F.when(F.min(v) != F.max(v), F.map_filter(versions, lambda _, version: version.isNotNull()))
+    return F.struct(agg_first(v, F.col(order)).alias("main"), differ.alias("versions"))
 
 
 def consolidate(
@@ -101,7 +99,8 @@ def consolidate(
     ``attribute -> origin -> value`` (null when the key has none); see
     ``widen_conflicts``. Columns that no candidate has are null. Without a row
     order the rows of one origin are ordered by a hash of their content, so the
-    result never depends on the partitioning.
+    result never depends on the partitioning. A row of an origin that is not
+    listed fails the query: its values would have no place among the conflicts.
 
     ``supplied`` says which attributes each origin can have at all; the others
     need no aggregate. It changes the cost only.
@@ -116,9 +115,11 @@ def consolidate(
         return F.col(name).cast(kind) if name in given else F.lit(None).cast(kind)
 
     row = F.col(row_order) if row_order else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    unknown = F.raise_error(F.concat(F.lit("unlisted origin "), F.col(ORIGIN))).cast("string")
+    listed = F.col(ORIGIN).isNull() | F.col(ORIGIN).isin(origins)
     prepared = df.select(
         key,
-        ORIGIN,
+        F.when(listed, F.col(ORIGIN)).otherwise(unknown).alias(ORIGIN),
         input_order(origins, row).alias("_order"),
         column("sources").alias("sources"),
         column("methode_jointure").alias("methode_jointure"),
@@ -136,8 +137,8 @@ def consolidate(
         *[agg_resolve(a, suppliers[a]).alias(f"_{a}") for a in attributes],
         *[agg_first(F.col(c), order).alias(c) for c in passthrough],
     )
-    versions = ", ".join(f"'{a}', _{a}.versions" for a in attributes)
-    conflicts = F.expr(f"map_filter(map({versions}), (attribute, v) -> v IS NOT NULL)")
+    versions = F.create_map(*[part for a in attributes for part in (F.lit(a), F.col(f"_{a}.versions"))])
+    conflicts = F.map_filter(versions, lambda _, v: v.isNotNull())
     return grouped.select(
         key,
         "sources",
@@ -178,7 +179,7 @@ def widen_conflicts(
 ) -> DataFrame:
     """Conflict map as columns ``attribute__origin``, the same set for any data."""
     wide = {
-        f"{a}__{o}": F.expr(f"try_element_at(try_element_at({CONFLICTS}, '{a}'), '{o}')")
+        f"{a}__{o}": F.try_element_at(F.try_element_at(F.col(CONFLICTS), F.lit(a)), F.lit(o))
         for a in attributes
         for o in origins
     }

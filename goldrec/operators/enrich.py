@@ -36,7 +36,6 @@ def registry_for_keys(
     date: str,
     columns: list[str],
     *ties: str,
-    hot: list | None = None,
 ) -> DataFrame:
     """Latest registry row of each wanted key (ENR-03).
 
@@ -50,7 +49,7 @@ def registry_for_keys(
     newest = registry.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.min(F.struct(order.alias("order"), F.struct(*names).alias("row"))).alias("_least")
     )
-    found = join_unique(newest, wanted, F.col(key), "_wanted", "left_semi", hot)
+    found = join_unique(newest, wanted, F.col(key), "_wanted", "left_semi")
     return found.select(*[F.col(f"_least.row.{n}").alias(n) for n in names])
 
 
@@ -131,7 +130,6 @@ def enrich(
     site_number: str = "nicSiegeUniteLegale",
     fields: list[tuple[str, str, str | None]] = vocab.ENRICH_FIELDS,
     ties: tuple[str, ...] = (),
-    hot: list | None = None,
 ) -> DataFrame:
     """Fill the blanks of the golden records from the registry (ENR-01, DRV-07, ENR-02).
 
@@ -140,7 +138,7 @@ def enrich(
     present = [c for c, _, _ in fields if c in registry.columns]
     wanted = list(dict.fromkeys(present + ([site_number] if site_number in registry.columns else [])))
     ties = ties or tuple(wanted)
-    latest = registry_for_keys(registry, consolidated, key, date, wanted, *ties, hot=hot)
+    latest = registry_for_keys(registry, consolidated, key, date, wanted, *ties)
     renamed = latest.select(key, *[F.col(c).alias(f"_reg_{c}") for c in wanted])
     joined = attach(consolidated, renamed, key, [f"_reg_{c}" for c in wanted])
 

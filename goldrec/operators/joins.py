@@ -1,10 +1,10 @@
 """Joins of a large table with lists, dictionaries and de-duplicated registries.
 
 The right side is always unique per key, so no join multiplies rows. Spark
-broadcasts it when its measured size is below the broadcast threshold and
-shuffles both sides otherwise. A key that holds a large share of the left rows
-would then land in one task: ``hot_keys`` finds such keys and the joins take
-them out of the shuffle.
+broadcasts it when its measured size is below the broadcast threshold, and then
+no key needs care. Otherwise both sides are shuffled, and a left partition that
+a frequent key has swollen is split among tasks at run time by the adaptive
+skew join, each part meeting the few rows of the other side.
 """
 
 from __future__ import annotations
@@ -15,38 +15,10 @@ from pyspark.sql import functions as F
 from goldrec.functions.text import canonical_key
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
-    """The keys that hold at least ``share`` of the rows, 1/share of them at most.
-
-    A frequent-items sketch, bounded by 1/share keys per task whatever the table
-    holds, names every such key and maybe others; these are then counted.
-    """
-    keys = df.select(key).where(F.col(key).isNotNull())
-    named = keys.freqItems([key], share).first()[0]
-    if not named:
-        return []
-    counted = keys.groupBy(F.when(F.col(key).isin(named), F.col(key)).alias("k")).count().collect()
-    total = sum(row["count"] for row in counted)
-    return sorted(row["k"] for row in counted if row["k"] is not None and row["count"] >= share * total)
-
-
-def join_unique(
-    df: DataFrame, right: DataFrame, left_key: Column, right_key: str, how: str, hot: list | None = None
-) -> DataFrame:
-    """Join with a side that is unique per key, hot left keys apart.
-
-    The rows of the hot keys meet a broadcast of at most ``len(hot)`` rows and
-    stay where they are; all others take the ordinary join.
-    """
+def join_unique(df: DataFrame, right: DataFrame, left_key: Column, right_key: str, how: str) -> DataFrame:
+    """Join with a side that is unique per key."""
     keyed = df.withColumn("_join_key", left_key)
-    if not hot:
-        return keyed.join(right, keyed["_join_key"] == right[right_key], how).drop("_join_key")
-    is_hot = F.coalesce(F.col("_join_key").isin(hot), F.lit(False))
-    few = F.broadcast(right.where(right[right_key].isin(hot)))
-    usual, spread = keyed.where(~is_hot), keyed.where(is_hot)
-    usual = usual.join(right, usual["_join_key"] == right[right_key], how)
-    spread = spread.join(few, spread["_join_key"] == few[right_key], how)
-    return usual.unionByName(spread).drop("_join_key")
+    return keyed.join(right, keyed["_join_key"] == right[right_key], how).drop("_join_key")
 
 
 def key_list(df: DataFrame, column: str, width: int = 9) -> DataFrame:
@@ -56,11 +28,11 @@ def key_list(df: DataFrame, column: str, width: int = 9) -> DataFrame:
 
 
 def keep_listed(
-    df: DataFrame, listed: DataFrame, key: str, list_key: str | None = None, hot: list | None = None
+    df: DataFrame, listed: DataFrame, key: str, list_key: str | None = None
 ) -> DataFrame:
     """Rows whose key is in the list (JOIN-01, SET-03)."""
     right = key_list(listed, list_key or key)
-    return join_unique(df, right, canonical_key(F.col(key)), "_list_key", "left_semi", _padded(hot))
+    return join_unique(df, right, canonical_key(F.col(key)), "_list_key", "left_semi")
 
 
 def flag_listed(
@@ -69,24 +41,19 @@ def flag_listed(
     key: str,
     flag: str,
     list_key: str | None = None,
-    hot: list | None = None,
 ) -> DataFrame:
     """Boolean column telling whether the key is in the list (JOIN-02)."""
     right = key_list(listed, list_key or key).withColumn("_hit", F.lit(True))
-    joined = join_unique(df, right, canonical_key(F.col(key)), "_list_key", "left", _padded(hot))
+    joined = join_unique(df, right, canonical_key(F.col(key)), "_list_key", "left")
     return joined.withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False))).drop("_list_key", "_hit")
 
 
-def _padded(hot: list | None) -> list | None:
-    return [str(k).strip().split(".")[0].zfill(9) for k in hot] if hot else None
-
-
 def attach(
-    df: DataFrame, other: DataFrame, key: str, columns: list[str], hot: list | None = None
+    df: DataFrame, other: DataFrame, key: str, columns: list[str]
 ) -> DataFrame:
     """Left join on a key with chosen columns of the other side, unique per key (JOIN-03, JOIN-04)."""
     right = other.select(F.col(key).alias("_other_key"), *[c for c in columns if c != key])
-    return join_unique(df, right, F.col(key), "_other_key", "left", hot).drop("_other_key")
+    return join_unique(df, right, F.col(key), "_other_key", "left").drop("_other_key")
 
 
 def attach_dictionary(
@@ -96,8 +63,7 @@ def attach_dictionary(
     dict_code: str,
     dict_label: str,
     label: str,
-    hot: list | None = None,
 ) -> DataFrame:
     """Label of a code from a dictionary table, null when unknown (JOIN-05)."""
     right = dictionary.select(F.col(dict_code).alias("_code"), F.col(dict_label).alias(label))
-    return join_unique(df, right, F.col(code), "_code", "left", hot).drop("_code")
+    return join_unique(df, right, F.col(code), "_code", "left").drop("_code")

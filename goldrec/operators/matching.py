@@ -91,7 +91,14 @@ def _scoring():
     the workers need no copy of this package.
     """
 
-    def similarity(a: str, b: str) -> float:
+    def places(a: str) -> dict[str, int]:
+        """Where each letter stands, as bits."""
+        where: dict[str, int] = {}
+        for i, ch in enumerate(a):
+            where[ch] = where.get(ch, 0) | (1 << i)
+        return where
+
+    def similarity(a: str, b: str, where: dict[str, int] | None = None) -> float:
         """Score of two token-sorted names, 0 to 100.
 
         The longest common subsequence is found with one row of bits, a few
@@ -100,9 +107,7 @@ def _scoring():
         total = len(a) + len(b)
         if not total:
             return 0.0
-        where: dict[str, int] = {}
-        for i, ch in enumerate(a):
-            where[ch] = where.get(ch, 0) | (1 << i)
+        where = places(a) if where is None else where
         full = (1 << len(a)) - 1
         row = full
         for ch in b:
@@ -112,7 +117,8 @@ def _scoring():
         return (1.0 - (total - 2 * common) / total) * 100
 
     def score(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([similarity(a, b) for a, b in zip(left, right)], dtype="float64")
+        known = {a: places(a) for a in left.unique()}  # once per name of the batch
+        return pd.Series([similarity(a, b, known[a]) for a, b in zip(left, right)], dtype="float64")
 
     def confidence(scores: pd.Series) -> pd.Series:
         return scores.map(lambda s: None if s != s else round(s / 100, 2)).astype("float64")
@@ -230,33 +236,45 @@ def listing_bytes(queries: DataFrame, score: float) -> tuple[int, int]:
 def similar_pairs(
     queries: DataFrame, index: DataFrame, ranks: list[int], unused: int, score: float, broadcast: bool
 ) -> DataFrame:
-    """(text, sorted names, key, ord) of all pairs that may reach the score."""
+    """(text, sorted names, key, ord) of all pairs that may reach the score.
 
-    def listed(df: DataFrame, side: str) -> DataFrame:
-        grams, prefix = F.col(f"{side}_grams"), F.col(f"{side}_prefix")
-        named = df.withColumn(f"{side}_grams", _ordered_grams(F.col("codes"), ranks)).drop("codes")
+    When the queries are broadcast the whole test happens in the join. Otherwise
+    only (pair, id, n, letter bits) is shuffled, repeats of a pair of ids
+    collapse, and the texts and grams come back by an equi-join on the id.
+    """
+
+    def spelled(df: DataFrame, side: str) -> DataFrame:
+        grams = F.col(f"{side}_grams")
+        named = df.withColumn(f"{side}_grams", _ordered_grams(F.col("codes"), ranks))
         first = F.slice(grams, F.lit(1), _prefix_size(F.col("n"), score))
         can_meet = F.filter(first, lambda g: F.pmod(g, F.lit(N_GRAMS)) >= unused)
-        short = named.withColumn(f"{side}_prefix", can_meet)
         own = [F.col(c).alias(f"{side}_{c}") for c in df.columns if c != "codes"]
-        return short.select(F.explode(_gram_pairs(prefix)).alias("pair"), *own, grams, prefix)
+        return named.select(*own, grams, can_meet.alias(f"{side}_prefix"))
+
+    def listed(df: DataFrame, side: str, *columns: str) -> DataFrame:
+        pairs = F.explode(_gram_pairs(F.col(f"{side}_prefix"))).alias("pair")
+        return df.select(pairs, *(columns or df.columns))
 
-    q, x = listed(queries, "q"), listed(index, "x")
+    all_q, all_x = spelled(queries, "q"), spelled(index, "x")
+    if broadcast:
+        q, x = listed(all_q, "q"), listed(all_x, "x")
+    else:
+        q, x = (listed(d, s, *(f"{s}_{c}" for c in ("id", "n", "low", "high"))) for d, s in ((all_q, "q"), (all_x, "x")))
     total = F.col("q_n") + F.col("x_n")
     shorter = F.least("q_n", "x_n")
     least = _least_common(total, score)
     differing = F.bit_count(F.col("q_low").bitwiseXOR(F.col("x_low"))) + F.bit_count(
         F.col("q_high").bitwiseXOR(F.col("x_high"))
     )
-    shared = F.array_intersect("q_prefix", "x_prefix")
-    meets = (
-        (q["pair"] == x["pair"])
-        & (shorter >= least)
-        & (differing <= total - least * 2)
-        & (_pair_code(F.try_element_at(shared, F.lit(1)), F.try_element_at(shared, F.lit(2))) == q["pair"])
-        & (F.size(F.array_intersect("q_grams", "x_grams")) >= least * 3 - total + 1)
-    )
-    joined = x.join(F.broadcast(q) if broadcast else q, meets)
+    likely = (q["pair"] == x["pair"]) & (shorter >= least) & (differing <= total - least * 2)
+    common = F.size(F.array_intersect("q_grams", "x_grams")) >= least * 3 - total + 1
+    if broadcast:
+        shared = F.array_intersect("q_prefix", "x_prefix")
+        first_shared = _pair_code(F.try_element_at(shared, F.lit(1)), F.try_element_at(shared, F.lit(2)))
+        joined = x.join(F.broadcast(q), likely & (first_shared == q["pair"]) & common)
+    else:
+        met = x.join(q, likely).select("q_id", "x_id").distinct()
+        joined = met.join(all_q, "q_id").join(all_x, "x_id").where(common)
     return joined.select("q_text", "q_sorted", "x_sorted", "x_key", "x_ord")
 
 
@@ -297,7 +315,8 @@ def fuzzy_lookup(
             {"codes": _numbered(F.col("codes"), N_GRAMS), "letters": _numbered(F.col("letters"), _BASE)}
         )
         bits = {side: _letter_bits(F.col("letters"), word) for word, side in enumerate(("low", "high"))}
-        return numbered.withColumns(bits).drop("letters")
+        # staged below, so the ids stay as they are
+        return numbered.withColumns({**bits, "id": F.monotonically_increasing_id()}).drop("letters")
 
     names = stage(prepare(index, "norm", "key", "ord"), "index-names")
     open_texts = stage(prepare(texts, "text"), "query-names")
@@ -362,28 +381,30 @@ def resolve_by_name(
         missed = rows.where(F.coalesce("_k1", "_k2").isNull())
         asked = missed.select(F.explode(F.array("_main", "_alt")).alias("text")).where("text != ''")
         similar = fuzzy_lookup(asked.distinct(), index, threshold)
-        rows = _attach_match(rows, similar, "_main", "_k3", "_s3")
-        rows = _attach_match(rows, similar, "_alt", "_k4", "_s4")
+        # rounded once per matched text, not per row
+        similar = similar.withColumn("confidence", score_to_confidence("score"))
+        rows = _attach_match(rows, similar, "_main", "_k3", _s3="score", _c3="confidence")
+        rows = _attach_match(rows, similar, "_alt", "_k4", _s4="score", _c4="confidence")
     else:
         nothing = {c: F.lit(None).cast("string") for c in ("_k3", "_k4")}
-        nothing |= {c: F.lit(None).cast("double") for c in ("_s3", "_s4")}
+        nothing |= {c: F.lit(None).cast("double") for c in ("_s3", "_s4", "_c3", "_c4")}
         rows = rows.withColumns(nothing)
 
     # the alternative name wins only with a strictly higher score
     alt_wins = F.coalesce(F.col("_s4") > F.col("_s3"), F.col("_s3").isNull())
     fuzzy_key = F.when(alt_wins, F.col("_k4")).otherwise(F.col("_k3"))
-    fuzzy_score = F.when(alt_wins, F.col("_s4")).otherwise(F.col("_s3"))
+    fuzzy_confidence = F.when(alt_wins, F.col("_c4")).otherwise(F.col("_c3"))
     match_pass = (
         F.when(F.col("_k1").isNotNull(), 1)
         .when(F.col("_k2").isNotNull(), 2)
         .when(fuzzy_key.isNotNull(), 3)
     )
-    rows = rows.withColumns({"match_pass": match_pass, "_score": fuzzy_score, "_fuzzy": fuzzy_key})
+    rows = rows.withColumns({"match_pass": match_pass, "_confidence": fuzzy_confidence, "_fuzzy": fuzzy_key})
     confidence = F.when(F.col("match_pass") == 1, F.lit(MAIN_CONFIDENCE)).when(
         F.col("match_pass") == 2, F.lit(ALTERNATIVE_CONFIDENCE)
     )
     if fuzzy:
-        confidence = confidence.when(F.col("match_pass") == 3, score_to_confidence("_score"))
+        confidence = confidence.when(F.col("match_pass") == 3, F.col("_confidence"))
     resolved = rows.withColumns(
         {
             key: F.coalesce("_k1", "_k2", "_fuzzy"),
@@ -391,16 +412,20 @@ def resolve_by_name(
             "methode_jointure": F.when(F.col("match_pass").isNotNull(), F.lit(METHOD)),
         }
     )
-    return resolved.drop("_main", "_alt", "_k1", "_k2", "_k3", "_k4", "_s3", "_s4", "_score", "_fuzzy")
+    return resolved.drop("_main", "_alt", "_k1", "_k2", "_k3", "_k4", "_s3", "_s4", "_c3", "_c4", "_confidence", "_fuzzy")
+
 
+def _attach_match(rows: DataFrame, matches: DataFrame, text: str, key: str, **more: str) -> DataFrame:
+    """Left join with the matches of one name column; '' and null meet nothing.
 
-def _attach_match(rows: DataFrame, matches: DataFrame, text: str, key: str, score: str | None = None) -> DataFrame:
-    """Left join with the matches of one name column; '' and null meet nothing."""
+    However many rows have no name, a shuffle deals them evenly: they join on a
+    hash of the row behind a sign that no normalised name holds.
+    """
     columns = [F.col("text").alias(f"_t{key}"), F.col("key").cast("string").alias(key)]
-    if score:
-        columns.append(F.col("score").alias(score))
-    right = matches.select(*columns)
-    return rows.join(right, rows[text] == right[f"_t{key}"], "left").drop(f"_t{key}")
+    right = matches.select(*columns, *[F.col(c).alias(name) for name, c in more.items()])
+    spread = F.concat(F.lit("#"), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("string"))
+    keyed = rows.withColumn("_name", F.when(F.col(text) != "", F.col(text)).otherwise(spread))
+    return keyed.join(right, keyed["_name"] == right[f"_t{key}"], "left").drop("_name", f"_t{key}")
 
 
 def match_summary(resolved: DataFrame) -> DataFrame:

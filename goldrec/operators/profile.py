@@ -105,9 +105,15 @@ def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _number(column: str) -> Column:
+    """A column as doubles; NaN is a missing value."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles (AGG-14)."""
-    moments = df.agg(
+    """Count, mean, sample deviation, extremes and exact quartiles; NaN counts as missing (AGG-14)."""
+    known = df.select(*[F.when(_number(c).isNotNull(), F.col(c)).alias(c) for c in columns])
+    moments = known.agg(
         *[
             F.struct(
                 F.count(c).alias("count"),
@@ -119,7 +125,7 @@ def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
             for c in columns
         ]
     ).unpivot([], columns, "column", "m")
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    quartiles = exact_quantiles(known, columns, [0.25, 0.5, 0.75])
     wide = quartiles.groupBy("column").agg(
         *[
             F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
@@ -142,10 +148,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     the enclosure and keeps only the distinct values inside it, with their
     counts; the answer is read from the running count over these. The sketch
     grows with the row count so that an enclosure holds about a million rows at
-    most, and repeated values count as one.
+    most, and repeated values count as one. NaN counts as missing. A target
+    that the enclosure misses fails the query instead of giving null.
     """
     spark = df.sparkSession
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = df.select(*[_number(c).alias(c) for c in columns])
     sizes = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
     accuracy = int(min(max(10_000, max(sizes, default=0) // 250_000), 10_000_000))
 
@@ -199,9 +206,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     )
     at = F.when(F.col("rank").between(F.col("first"), F.col("last")), F.col("v"))
     after = F.when((F.col("rank") + 1).between(F.col("first"), F.col("last")), F.col("v"))
-    found = ranked.groupBy("column", "prob", "fraction").agg(F.max(at).alias("a"), F.max(after).alias("b"))
+    ends = ranked.groupBy("target").agg(F.max(at).alias("a"), F.max(after).alias("b"))
+    found = F.broadcast(facts).join(ends, "target", "left")
     step = F.when(F.col("fraction") > 0, (F.col("b") - F.col("a")) * F.col("fraction")).otherwise(0.0)
-    return found.select("column", "prob", (F.col("a") + step).alias("value"))
+    missed = F.raise_error(F.lit("a quantile lies outside its enclosure")).cast("double")
+    return found.select("column", "prob", F.coalesce(F.col("a") + step, missed).alias("value"))
 
 
 # -- cross tables --------------------------------------------------------------------
@@ -210,15 +219,21 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
 def cross_table(df: DataFrame, rows: str, columns: str) -> DataFrame:
     """Counts per pair with TOTAL margins, long form; pairs with a null are left out (AGG-15).
 
-    The pairs are counted first; only the counts go through the cube.
+    The pairs are counted first; only the counts go through the cube. A value
+    that reads like the name of the margins fails the query.
     """
     pairs = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
     counts = pairs.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
     cube = counts.cube(rows, columns).agg(F.sum("n").alias("n"), F.grouping_id().alias("_g"))
     total = F.lit(TOTAL)
+
+    def value(name: str) -> Column:
+        clash = F.raise_error(F.lit(f"{name} holds the value {TOTAL}")).cast(df.schema[name].dataType)
+        return F.when(F.col(name).cast("string") == TOTAL, clash).otherwise(F.col(name))
+
     return cube.where((F.col("_g") != 3) | F.col("n").isNotNull()).select(
-        F.when(F.col("_g").bitwiseAND(2) != 0, total).otherwise(F.col(rows)).alias(rows),
-        F.when(F.col("_g").bitwiseAND(1) != 0, total).otherwise(F.col(columns)).alias(columns),
+        F.when(F.col("_g").bitwiseAND(2) != 0, total).otherwise(value(rows)).alias(rows),
+        F.when(F.col("_g").bitwiseAND(1) != 0, total).otherwise(value(columns)).alias(columns),
         "n",
     )
 

@@ -92,9 +92,7 @@ def flatten_record(df: DataFrame) -> DataFrame:
     return df.withColumns({name: c for name, c in flat.items() if name in df.columns})
 
 
-def tag_listed(
-    df: DataFrame, reviewed: DataFrame, key: str, flag: str = "tag_ngi", hot: list | None = None
-) -> DataFrame:
+def tag_listed(df: DataFrame, reviewed: DataFrame, key: str, flag: str = "tag_ngi") -> DataFrame:
     """Tag the rows whose key was entered in a reviewed list (QLT-04, FLT-09)."""
     entered = reviewed.where(F.col(key).isNotNull() & (F.col(key) != ""))
-    return flag_listed(df, entered, key, flag, hot=hot)
+    return flag_listed(df, entered, key, flag)

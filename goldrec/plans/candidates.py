@@ -26,21 +26,21 @@ STATUS = "etatAdministratifUniteLegale"
 
 
 def listed_with_digital_code(
-    registry: DataFrame, listed: DataFrame, list_key: str = "SIREN", hot: list | None = None
+    registry: DataFrame, listed: DataFrame, list_key: str = "SIREN"
 ) -> DataFrame:
     """Members of the reference list with a digital activity code (PIPE-01)."""
     digital = in_codes(registry.select("siren", NAME, ACTIVITY), ACTIVITY, vocab.DIGITAL_NAF)
-    members = keep_listed(digital, listed, "siren", list_key, hot)
+    members = keep_listed(digital, listed, "siren", list_key)
     return with_provenance(members, ["ess_france", "sirene"], "siren_direct")
 
 
 def social_form_or_approved(
-    registry: DataFrame, approved: DataFrame, list_key: str = "key", hot: list | None = None
+    registry: DataFrame, approved: DataFrame, list_key: str = "key"
 ) -> DataFrame:
     """Digital code and either a social legal form or an approval (PIPE-02, FLT-03, SET-02)."""
     columns = ["siren", NAME, LAST_NAME, ACTIVITY, STAFF, LEGAL_FORM]
     digital = in_codes(registry.select(*columns), ACTIVITY, vocab.DIGITAL_NAF)
-    flagged = flag_listed(digital, approved, "siren", "_approved", list_key, hot)
+    flagged = flag_listed(digital, approved, "siren", "_approved", list_key)
     kept = flagged.where(legal_form_in(LEGAL_FORM, vocab.SOCIAL_LEGAL_FORMS) | F.col("_approved"))
     tiered = add_tiers(kept, LEGAL_FORM, ACTIVITY)
     return tiered.withColumns(

@@ -41,14 +41,13 @@ def enrich_records(
     consolidated: DataFrame,
     registry: DataFrame,
     ties: tuple[str, ...] = (),
-    hot: list | None = None,
 ) -> DataFrame:
     """Golden records with their blanks filled from the registry (PIPE-06).
 
     The records are needed twice, for their keys and for the join, so they are
     written once instead of being consolidated twice.
     """
-    return enrich(stage(consolidated, "consolidated"), registry, ties=ties, hot=hot)
+    return enrich(stage(consolidated, "consolidated"), registry, ties=ties)
 
 
 def export_records(enriched: DataFrame) -> DataFrame:

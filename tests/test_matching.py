@@ -159,6 +159,7 @@ def test_similar_pairs_are_an_equi_join(spark, index):
         return df.select(
             *columns, F.col(columns[0]).alias("sorted"), F.length(columns[0]).alias("n"),
             M._codes(F.col(columns[0])).alias("codes"), F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"),
+            F.monotonically_increasing_id().alias("id"),
         )
 
     texts = spark.createDataFrame([("cycles",)], "text string")

@@ -119,3 +119,15 @@ def test_histogram(spark):
 def test_rule_overlap(spark):
     df = spark.createDataFrame([(True, True), (True, False), (False, False), (None, True)], "a boolean, b boolean")
     assert tuple(P.rule_overlap(df, F.col("a"), F.col("b")).first()) == (2, 2, 1)
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,), (None,)], "v double")
+    r = P.describe_numbers(df, ["v"]).first()
+    assert (r["count"], r["mean"], r["min"], r["median"], r["max"]) == (2, 1.5, 1.0, 1.5, 2.0)
+
+
+def test_a_value_named_like_the_margin_is_refused(spark):
+    df = spark.createDataFrame([("TOTAL", "x"), ("a", "x")], "k string, w string")
+    with pytest.raises(Exception, match="holds the value TOTAL"):
+        P.cross_table(df, "k", "w").collect()

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from goldrec import vocab
@@ -73,24 +74,22 @@ def skewed(spark):
     return spark.range(900).selectExpr("CASE WHEN id < 300 THEN '000000007' ELSE lpad(CAST(id AS STRING), 9, '0') END AS siren", "id")
 
 
-def test_hot_keys_are_found(spark):
-    assert joins.hot_keys(skewed(spark), "siren", 0.1) == ["000000007"]
-    assert joins.hot_keys(skewed(spark).limit(0), "siren") == []
-
-
-def test_joins_with_and_without_hot_keys_agree(spark):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_joins_keep_the_rows_of_a_frequent_key(spark, threshold):
     df = skewed(spark)
     listed = spark.createDataFrame([("7",), ("7.0",), ("500",), (None,)], "k string")
-    hot = joins.hot_keys(df, "siren", 0.1)
-    for how in (None, hot):
-        kept = joins.keep_listed(df, listed, "siren", "k", how)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        kept = joins.keep_listed(df, listed, "siren", "k")
         assert kept.count() == 301 and kept.columns == df.columns
-        flagged = joins.flag_listed(df, listed, "siren", "f", "k", how)
+        flagged = joins.flag_listed(df, listed, "siren", "f", "k")
         assert flagged.count() == 900 and flagged.where("f").count() == 301
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_left_join_ignores_null_keys(spark):
     a = spark.createDataFrame([("1", 1), (None, 2)], "k string, i int")
     b = spark.createDataFrame([("1", "x"), (None, "y")], "k string, v string")
     assert rows(joins.attach(a, b, "k", ["v"]), "i", "v") == [(1, "x"), (2, None)]
-    assert rows(joins.attach(a, b, "k", ["v"], ["1"]), "i", "v") == [(1, "x"), (2, None)]
