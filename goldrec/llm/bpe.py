@@ -24,9 +24,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from goldrec.llm.common import GIVE_BACK_BYTES, give_back, worker_tools
+
 RANKS = "byte_bpe_50k.tiktoken"
-#: Entries that each table of a worker may hold before it starts afresh.
-TABLE_LIMIT = 400_000
+#: Entries that a table of the transducer, and the dictionary of known pieces, may hold before they start afresh.
+TABLE_LIMIT, PIECE_LIMIT = 250_000, 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -47,12 +49,13 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], limit: int = TABLE_LIMIT, spread: int = 400):
         self.ranks, self.limit, self.spread = ranks, limit, spread
         self.longest = max(map(len, ranks))
-        longer: dict[bytes, set] = {}
-        for t in ranks:
+        #: All tokens in order, and bytes -> where the longer tokens that begin with them lie.
+        self.ordered = sorted(ranks)
+        self.begins: dict[bytes, range] = {}
+        for at, t in enumerate(self.ordered):
             for i in range(1, len(t)):
-                longer.setdefault(t[:i], set()).add(t)
-        #: Bytes -> the longer tokens that begin with them.
-        self.begins = {k: frozenset(v) for k, v in longer.items()}
+                known = self.begins.get(t[:i])
+                self.begins[t[:i]] = range(at if known is None else known.start, at + 1)
         self.barred: dict[tuple, frozenset] = {}
         self.edges: tuple[dict, dict] = {}, {}
         self._fresh()
@@ -60,7 +63,7 @@ class Transducer:
     def _fresh(self) -> None:
         start = (None, b"", (0,))
         self.states, self.numbers = [start], {start: 0}
-        self.moves: dict[int, tuple[int, tuple]] = {}
+        self.moves: dict[int, int | tuple[int, tuple]] = {}
         self.ends: dict[int, tuple] = {}
 
     def merged(self, raw: bytes, before: int = 1 << 60) -> list[bytes]:
@@ -140,10 +143,11 @@ class Transducer:
         if found is None:
             if len(self.barred) > self.limit:
                 self.barred.clear()
-            found = self.barred[key] = frozenset(t for t in longer if not self.joins(before, t))
+            found = self.barred[key] = frozenset(t for t in map(self.ordered.__getitem__, longer) if not self.joins(before, t))
         return found
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple]:
+    def _move(self, state: int, byte: int) -> int | tuple[int, tuple]:
+        """The next state, with the ids emitted on the way if there are any."""
         before, held, last = self.states[state]
         held = held + bytes([byte])
         n = len(held)
@@ -186,14 +190,14 @@ class Transducer:
         elif type(before) is bytes:
             before = self._context(before, held)
         elif before:
-            before = before & begins.get(held, frozenset()) if held in begins else frozenset()
+            before = frozenset(t for t in before if len(t) > n and t.startswith(held))
         used = {p for way in ways for p in way}
         after = (before, held, tuple([0, *(last[p] if p in used else 0 for p in range(done + 1, n + 1))]))
         number = self.numbers.get(after)
         if number is None:
             number = self.numbers[after] = len(self.states)
             self.states.append(after)
-        return number, ids
+        return (number, ids) if ids else number
 
     def _end(self, state: int) -> tuple:
         _, held, last = self.states[state]
@@ -216,8 +220,11 @@ class Transducer:
             step = moves.get(key)
             if step is None:
                 step = moves[key] = self._move(state, byte)
-            state, ids = step
-            out.extend(ids)
+            if type(step) is int:
+                state = step
+            else:
+                state, ids = step
+                out.extend(ids)
         if state not in self.ends:
             self.ends[state] = self._end(state)
         return (*out, *self.ends[state])
@@ -226,8 +233,8 @@ class Transducer:
 class Encoder(dict):
     """Texts to ids. The dictionary remembers pieces of bounded length and number."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = TABLE_LIMIT):
-        self.transducer, self.limit = Transducer(ranks, limit), limit
+    def __init__(self, ranks: dict[bytes, int], limit: int = TABLE_LIMIT, pieces: int = PIECE_LIMIT):
+        self.transducer, self.limit = Transducer(ranks, limit), min(limit, pieces)
         self.pattern = split_pattern()
 
     def __missing__(self, piece: str) -> tuple:
@@ -285,15 +292,9 @@ class Decoder:
         yield machine.close()
 
 
-_worker: dict[str, tuple] = {}
-
-
 def _tools(ranks) -> tuple[Encoder, Decoder]:
     """One encoder and decoder per worker and rank table, so that their tables stay warm between tasks."""
-    if ranks.id not in _worker:
-        _worker.clear()
-        _worker[ranks.id] = Encoder(ranks.value), Decoder(ranks.value)
-    return _worker[ranks.id]
+    return worker_tools(f"bpe {ranks.id}", lambda: (Encoder(ranks.value), Decoder(ranks.value)))
 
 
 class _Held:
@@ -357,5 +358,7 @@ def token_digests(docs: DataFrame, path: str | None = None, portion: int = 1 <<
                     back.update(s.encode())
                 text_hash.append(back.hexdigest())
             yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            if batch.nbytes >= GIVE_BACK_BYTES:
+                give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")

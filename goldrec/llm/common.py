@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,35 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def slices(column: pa.Array, max_bytes: int = 2 << 20, max_rows: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows (low, high, bytes, offsets) of bounded size; a longer text is a run of its own."""
+#: What an operator keeps in a worker from task to task, by name.
+_tools: dict[str, object] = {}
+#: Batches of at least so many bytes leave memory worth returning.
+GIVE_BACK_BYTES = 4 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def worker_tools(name: str, make: Callable[[], object]):
+    """What ``make`` returns, kept warm in the worker until a task of another operator comes."""
+    if name not in _tools:
+        _tools.clear()
+        _tools[name] = make()
+    return _tools[name]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks, and what they hold counts for the executor."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
+def slices(column: pa.Array, max_bytes: int = 1 << 20, max_rows: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows (low, high, bytes, offsets) of bounded size; a longer text is a run of its own.
+
+    Tools that another operator kept in this worker are dropped first.
+    """
+    if _tools:
+        _tools.clear()
+        give_back()
     data, off = utf8(column)
     low, n = 0, len(off) - 1
     while low < n:
@@ -54,6 +82,8 @@ def slices(column: pa.Array, max_bytes: int = 2 << 20, max_rows: int = 4096) ->
         high = max(low + 1, min(high, low + max_rows, n))
         yield low, high, data[off[low] : off[high]], off[low : high + 1] - off[low]
         low = high
+    if len(data) >= GIVE_BACK_BYTES:
+        give_back()
 
 
 def as_int64(column: pa.Array) -> np.ndarray:

@@ -73,7 +73,10 @@ def find_words(data: np.ndarray, off: np.ndarray, word_bytes: np.ndarray) -> tup
     last[borders - 1] = inside[borders - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     sums = np.zeros(n + 1, U)
-    np.cumsum((d.astype(U) + U(1)) * powers(BASE, n), out=sums[1:])
+    terms = sums[1:]
+    np.add(d, U(1), out=terms)
+    terms *= powers(BASE, n)
+    np.cumsum(terms, out=terms)
     hashes = mix((sums[end] - sums[start]) * powers(INVERSE, n)[start])
     row = np.searchsorted(off, start, "right") - 1
     return row, start, end, hashes
