@@ -125,6 +125,56 @@ def test_interpolated_probabilities_sum_to_one():
     assert letters.all() and len(gram) == 8 and (gram & 4095).tolist() == [1, 2, 1, 2, 0, 1, 2, 0]
 
 
+def brute_kneser_ney(rows):
+    """ln p(symbol | up to three before it) per language, by the textbook: counts, then distinct continuations."""
+    tables = {}
+    for lang in sorted({x for _, x in rows}):
+        top = collections.Counter()
+        for text, own in rows:
+            if own == lang:
+                for word in text.split():
+                    padded = "___" + word + "_"
+                    top.update(padded[i : i + 4] for i in range(len(padded) - 3))
+        orders = {4: top}
+        for k in (3, 2, 1):
+            orders[k] = collections.Counter(g[1:] for g in orders[k + 1])
+        for counts in orders.values():
+            counts.contexts = collections.defaultdict(list)
+            for g, c in counts.items():
+                counts.contexts[g[:-1]].append(c)
+        tables[lang] = orders
+
+    def p(lang, gram):
+        below = p(lang, gram[1:]) if len(gram) > 1 else 1 / langid.SYMBOLS
+        counts = tables[lang][len(gram)]
+        seen = counts.contexts.get(gram[:-1])
+        if not seen:
+            return below
+        return max(counts[gram] - 0.75, 0) / sum(seen) + 0.75 * len(seen) / sum(seen) * below
+
+    return tables, p
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_cross_entropies_are_those_of_kneser_ney(spark, limit):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(1, 8))) for _ in range(900)]
+    training = [(" ".join(rng.choice(words[:600] if i % 2 else words[300:], 60)), f"l{i % 2}") for i in range(60)]
+    texts = [" ".join(rng.choice(words, 30)) for _ in range(10)] + ["qzxj jjqq", "a", "", None, "qzxj jjqq"]
+    model = langid.train(spark.createDataFrame(training, "text string, lang string"))
+    options = {} if "limit" not in langid.cross_entropies.__code__.co_varnames else {"limit": limit}
+    ids = [*range(len(texts) - 1), 10]
+    got = langid.cross_entropies(frame(spark, texts, ids), model, "doc_id", **options).collect()
+    tables, p = brute_kneser_ney(training)
+    assert len(got) == len(texts) and len({r.doc_id for r in got}) == len(texts) - 1
+    for r in got:
+        wanted = []
+        grams = [g for w in (texts[r.doc_id] or "").split() for g in (("___" + w + "_")[i : i + 4] for i in range(len(w) + 1))]
+        for lang in ("l0", "l1"):
+            wanted.append(-sum(np.log(p(lang, g)) for g in grams) / max(1, len(grams)))
+        assert r.n == len(grams) and r.entropy == pytest.approx(wanted, abs=1e-4), texts[r.doc_id]
+
+
 def test_urls(spark):
     urls = [
         "http://a.org/x", "HTTP://A.ORG/x", "http://org/", "http://a.org", "http://aorg/x", "http://example.org/es/1", "http://x.example.org/en/12",
