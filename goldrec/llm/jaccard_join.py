@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: all texts within Jaccard distance EPS of each other, as connected groups.
+"""N-gram Jaccard join: all texts within Jaccard distance EPS of each other, counted and as connected groups.
 
 1 - |x & y| / |x | y| is a metric on shingle sets, so regions around pivots can be joined one by one:
 
@@ -12,11 +12,13 @@
 * Regions that overlap are fused into **cells** (components of the candidate graph), so a text travels once.
 * **Below, documents as pivots.** A cell is split into Voronoi regions; x also enters the region of a later
   pivot q if d(x, q) - d(x, home) <= 2 EPS, which holds for every x within EPS of a text at home there. Regions
-  are joined in the same way until they are small, then pair by pair, skipping texts that are already connected.
+  are joined in the same way until they are small, then pair by pair. A pair belongs to the region in which its later
+  member is at home, so every link is counted once. Without counts, texts that are already connected are skipped.
   A cell beyond ``max_elements`` is split this way by Spark first; one that does not shrink is dealt into
   blocks, each pair of which is a cell. No text, region or link is dropped.
 
 Equal sets are one node from the start: a node is a 64-bit fingerprint of the set, so copies meet inside tasks.
+A link of two nodes counts as many links of documents as there are pairs of their copies.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from goldrec.llm import words
-from goldrec.llm.common import BROADCAST_LIMIT, as_int64, connected_components, slices
+from goldrec.llm.common import BROADCAST_LIMIT, connected_components, slices
 from goldrec.session import stage
 
 #: Texts link when PART * intersection >= SHARE * union.
@@ -196,10 +198,18 @@ def candidate_cells(docs: DataFrame, levels) -> DataFrame:
     return connected_components(edges)
 
 
+#: Bits of a mask: two sets of a region are a pair of it if their masks together have all bits. Each level of
+#: regions has a bit, which members that are not at home lack; the two sides of a pair of blocks have one each.
+FULL, LEVEL_BIT, BLOCK_BITS, REGION_BIT = -1, 0, (16, 17), 18
+
+
 class Region:
-    """Texts joined in memory: flat shingle numbers, bounds, and who is connected with whom."""
+    """Texts joined in memory: flat shingle numbers, bounds, who is connected with whom, and with copies the links of each."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], copies: np.ndarray | None = None, masks: np.ndarray | None = None):
+        self.copies = copies
+        self.masks = np.full(len(sets), FULL, np.int64) if masks is None else masks
+        self.links = np.zeros(len(sets), np.int64)
         self.size = np.array([len(s) for s in sets])
         values, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
         self.low = np.cumsum(self.size) - self.size
@@ -221,18 +231,20 @@ class Region:
         """Connect p with each member within EPS; returns the distances."""
         both = self.shared(p, members)
         union = self.size[members] + self.size[p] - both
-        near = members[PART * both >= SHARE * union]
+        self.near = PART * both >= SHARE * union
+        near = members[self.near]
         old = np.unique(self.group[np.append(near, p)])
         if len(old) > 1:
             self.group[np.isin(self.group, old)] = old[0]
         return 1 - both / union
 
-    def join(self, members: np.ndarray) -> None:
-        """Connect all linked pairs among the members."""
-        if len(members) < 2 or (self.group[members] == self.group[members[0]]).all():
+    def join(self, members: np.ndarray, masks: np.ndarray | None = None, bit: int = REGION_BIT) -> None:
+        """Connect all linked pairs among the members, or count those whose masks allow it."""
+        masks = self.masks[members] if masks is None else masks
+        if len(members) < 2 or self.copies is None and (self.group[members] == self.group[members[0]]).all():
             return
-        if len(members) <= 2 * PIVOTS:
-            self.pairs(members)
+        if len(members) <= 2 * PIVOTS or bit > 62:
+            self.pairs(members, masks)
             return
         step = len(members) / PIVOTS
         pivots = members[(np.arange(PIVOTS) * step).astype(int)]
@@ -241,21 +253,27 @@ class Region:
         nearest = d.min(0)
         for j in range(PIVOTS):
             region = (home == j) | ((home < j) & (d[j] - nearest <= 2 * EPS + 1e-9))
+            own = np.where(home == j, masks, masks & ~np.int64(1 << bit))[region]
             if region.sum() > 0.8 * len(members):
-                self.pairs(members[region], d[:, region])
+                self.pairs(members[region], own, d[:, region])
             else:
-                self.join(members[region])
+                self.join(members[region], own, bit + 1)
 
-    def pairs(self, members: np.ndarray, d: np.ndarray | None = None) -> None:
-        """Compare what is not yet connected, sizes and all pivot distances within EPS."""
+    def pairs(self, members: np.ndarray, masks: np.ndarray, d: np.ndarray | None = None) -> None:
+        """Compare the pairs with sizes and all pivot distances within EPS: those to be counted, or those not yet connected."""
         for i, x in enumerate(members[:-1]):
             rest = np.arange(i + 1, len(members))
             n = self.size[members[rest]]
-            rest = rest[(self.group[members[rest]] != self.group[x]) & (PART * np.minimum(n, self.size[x]) >= SHARE * np.maximum(n, self.size[x]))]
+            wanted = self.group[members[rest]] != self.group[x] if self.copies is None else (masks[rest] | masks[i]) == FULL
+            rest = rest[wanted & (PART * np.minimum(n, self.size[x]) >= SHARE * np.maximum(n, self.size[x]))]
             if d is not None and len(rest):
                 rest = rest[(np.abs(d[:, rest] - d[:, i : i + 1]) <= EPS + 1e-9).all(0)]
             if len(rest):
                 self.link(x, members[rest])
+                if self.copies is not None:
+                    near = members[rest[self.near]]
+                    self.links[x] += self.copies[near].sum()
+                    self.links[near] += self.copies[x]
 
 
 def region_groups(sets: list[np.ndarray]) -> np.ndarray:
@@ -265,24 +283,58 @@ def region_groups(sets: list[np.ndarray]) -> np.ndarray:
     return region.group
 
 
-def _sets_of(cells, wanted: bool):
-    """(cell, node, n, shingles) of texts in cells, or of all texts (cell null) to be joined with them."""
+def _filter_slots(node: np.ndarray) -> np.ndarray:
+    return (words.mix(node.view(U)) >> U(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, bits) of nodes that arrive by part."""
+    shift = FILTER_BITS - PART_BITS
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        at = _filter_slots(np.asarray(batch.column(0)))
+        for part in np.unique(at >> shift):
+            own = at[at >> shift == part] - (int(part) << shift)
+            found.setdefault(int(part), np.zeros(1 << (shift - 3), np.uint8))
+            np.bitwise_or.at(found[int(part)], own >> 3, (1 << (own & 7)).astype(np.uint8))
+    for part, bits in found.items():
+        yield pa.record_batch([[part], pa.array([bits.tobytes()], pa.binary())], ["part", "bits"])
+
+
+def node_filter(cells: DataFrame) -> np.ndarray:
+    """Bits of the hashed nodes in cells; 2**FILTER_BITS bits at any number of them."""
+    table = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    size = 1 << (FILTER_BITS - PART_BITS - 3)
+    tasks = cells.select("node").mapInArrow(_filter_parts, "part long, bits binary")
+    merged = tasks.repartition(1 << (PART_BITS - 1), "part").mapInArrow(_merge_parts, "part long, bits binary")
+    for r in merged.toLocalIterator():
+        table[r.part * size : (r.part + 1) * size] = np.frombuffer(r.bits, np.uint8)
+    return table
+
+
+def _merge_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = np.frombuffer(bits, np.uint8)
+            found[part] = found[part] | own if part in found else own
+    for part, bits in found.items():
+        yield pa.record_batch([[part], pa.array([bits.tobytes()], pa.binary())], ["part", "bits"])
+
+
+def _sets_of(wanted):
+    """(node, n, shingles) of texts that the filter lets pass: all in cells and a few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        keys, labels = cells.value if wanted else (None, None)
+        bits = wanted.value
         for batch in batches:
             for _, _, data, off in slices(batch.column(0)):
                 bounds, hashes = words.shingle_sets(data, off)
                 node = set_nodes(bounds, hashes)
-                keep = np.diff(bounds) > 0
-                cell = np.zeros(len(node), np.int64)
-                if wanted:
-                    at = np.minimum(np.searchsorted(keys, node), len(keys) - 1)
-                    keep &= keys[at] == node
-                    cell = labels[at]
+                at = _filter_slots(node)
                 out = []
-                for i in np.flatnonzero(keep):
+                for i in np.flatnonzero((np.diff(bounds) > 0) & (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0)):
                     if node[i] not in seen:
                         seen.add(node[i])
                         out.append(i)
@@ -290,91 +342,99 @@ def _sets_of(cells, wanted: bool):
                     seen.clear()
                 if out:
                     blobs = [hashes[bounds[i] : bounds[i + 1]].tobytes() for i in out]
-                    yield pa.record_batch([cell[out], node[out], np.diff(bounds)[out], pa.array(blobs, pa.binary())], ["cell", "node", "n", "shingles"])
+                    yield pa.record_batch([node[out], np.diff(bounds)[out], pa.array(blobs, pa.binary())], ["node", "n", "shingles"])
 
     return run
 
 
-SET_ROW = "cell long, node long, n long, shingles binary"
+#: Bits of the filter of nodes in cells.
+FILTER_BITS = 27
+SET_COLUMNS = ["cell", "node", "n", "shingles", "copies", "mask"]
 
 
 def cell_sets(docs: DataFrame, cells: DataFrame) -> DataFrame:
-    """The shingle sets of all texts in cells, once or a few times each."""
-    sc = docs.sparkSession.sparkContext
-    n = cells.count()
-    if n == 0:
-        return docs.sparkSession.createDataFrame([], SET_ROW)
-    if n * 16 <= BROADCAST_LIMIT:
-        table = cells.toArrow()
-        keys, labels = (np.asarray(table[c].combine_chunks()) for c in ("node", "label"))
-        order = np.argsort(keys)
-        return docs.select("text").mapInArrow(_sets_of(sc.broadcast((keys[order], labels[order])), True), SET_ROW)
-    sets = docs.select("text").mapInArrow(_sets_of(None, False), SET_ROW).drop("cell")
-    return sets.join(cells, "node").select(F.col("label").alias("cell"), "node", "n", "shingles")
-
-
-def _rows_by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[np.ndarray]]]:
-    """The cells of rows sorted by cell; a node counts once."""
-    cell, nodes, sets = None, [], []
+    """The shingle sets of all texts in cells (node, label, copies), once or a few times each."""
+    held = docs.sparkSession.sparkContext.broadcast(node_filter(cells))
+    sets = docs.select("text").mapInArrow(_sets_of(held), "node long, n long, shingles binary")
+    rows = sets.join(cells, "node").withColumn("cell", F.col("label")).withColumn("mask", F.lit(FULL).cast("long"))
+    return rows.select(*SET_COLUMNS)
+
+
+def _rows_by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[np.ndarray], list[int], list[int]]]:
+    """Nodes, sets, copies and masks of each cell of rows sorted by cell; a node counts once."""
+    cell, held = None, ([], [], [], [])
     seen: set[int] = set()
     for batch in batches:
         blobs = batch.column(3)
-        for i, (c, v) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+        columns = (batch.column(i).to_pylist() for i in (0, 1, 4, 5))
+        for i, (c, v, copies, mask) in enumerate(zip(*columns, strict=True)):
             if c != cell:
-                if nodes:
-                    yield cell, nodes, sets
-                cell, nodes, sets, seen = c, [], [], set()
+                if held[0]:
+                    yield held
+                cell, held, seen = c, ([], [], [], []), set()
             if v not in seen:
                 seen.add(v)
-                nodes.append(v)
-                sets.append(np.frombuffer(blobs[i].as_py(), U))
-    if nodes:
-        yield cell, nodes, sets
-
-
-def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a, b = [], []
-    for _, nodes, sets in _rows_by_cell(batches):
-        if len(nodes) > 1:
-            group = region_groups(sets)
-            ids = np.array(nodes)
-            # the smallest node stands for its group in this cell
-            order = np.lexsort((ids, group))
-            first, at = _star(group[order])
-            hub = ids[order][at]
-            a.extend(hub[~first])
-            b.extend(ids[order][~first])
-        if len(a) > 50_000:
-            yield pa.record_batch([a, b], ["a", "b"])
-            a, b = [], []
-    yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def _voronoi(pivots):
+                for part, x in zip(held, (v, np.frombuffer(blobs[i].as_py(), U), copies, mask), strict=True):
+                    part.append(x)
+    if held[0]:
+        yield held
+
+
+def _join_cells(count: bool):
+    """Rows (a, b, links): b is connected with a, the smallest of its group in this cell, and has so many links here."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b, links = [], [], []
+
+        def rows():
+            return pa.record_batch([pa.array(x, pa.int64()) for x in (a, b, links)], ["a", "b", "links"])
+
+        for nodes, sets, copies, masks in _rows_by_cell(batches):
+            if len(nodes) > 1:
+                region = Region(sets, np.array(copies) if count else None, np.array(masks))
+                region.join(np.arange(len(sets)))
+                ids = np.array(nodes)
+                # the smallest node stands for its group in this cell
+                order = np.lexsort((ids, region.group))
+                first, at = _star(region.group[order])
+                keep = ~first | (region.links[order] > 0)
+                a.extend(ids[order][at][keep])
+                b.extend(ids[order][keep])
+                links.extend(region.links[order][keep])
+            if len(a) > 50_000:
+                yield rows()
+                a, b, links = [], [], []
+        yield rows()
+
+    return run
+
+
+def _voronoi(pivots, bit: int):
     """Rows (kind 0: link a, b; kind 1: set of a sub-region) of texts in large cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         around = {c: [(v, np.frombuffer(s, U)) for v, s in rows] for c, rows in pivots.value.items()}
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for c, v, n, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            out: list[list] = [[] for _ in range(8)]
+            for c, v, n, s, copies, mask in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 own = np.frombuffer(s, U)
+                outside = mask & ~(1 << bit)
                 d = []
                 for p, q in around[c]:
                     both = len(np.intersect1d(own, q, assume_unique=True))
                     union = len(own) + len(q) - both
                     d.append(1 - both / union)
                     if PART * both >= SHARE * union and p != v:
-                        for column, x in zip(out, (0, p, v, None, None, None), strict=True):
+                        for column, x in zip(out, (0, p, v, None, None, None, None, None), strict=True):
                             column.append(x)
                 home = int(np.argmin(d))
                 for j in range(home, len(d)):
                     if d[j] - d[home] <= 2 * EPS + 1e-9:
                         sub = int(words.mix(np.array([np.int64(c).astype(U) * U(31) + U(j + 1)]))[0].astype(np.int64))
-                        for column, x in zip(out, (1, None, v, sub, n, s), strict=True):
+                        for column, x in zip(out, (1, None, v, sub, n, s, copies, mask if j == home else outside), strict=True):
                             column.append(x)
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], ["kind", "a", "node", "cell", "n", "shingles"])
+            types = (pa.int32(), *[pa.int64()] * 4, pa.binary(), pa.int64(), pa.int64())
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], ["kind", "a", "node", "cell", "n", "shingles", "copies", "mask"])
 
     return run
 
@@ -396,17 +456,21 @@ def _split(sets: DataFrame, max_elements: int, levels: int = 4) -> tuple[DataFra
             # blocks of half a task; each pair of blocks of a cell becomes a cell
             blocks = F.ceil(2 * F.col("elements") / max_elements) + 1
             own = F.pmod(F.xxhash64("node"), blocks)
-            pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(j, own), F.greatest(j, own)))
-            done.append(big.select("*", F.explode(F.array_distinct(pairs)).alias("pair")).select(F.xxhash64("cell", "pair").alias("cell"), "node", "n", "shingles"))
+            pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(j, own).alias("x"), F.greatest(j, own).alias("y")))
+            # of two blocks the pairs across count, as those inside have a cell of their own
+            low, high = (~(1 << x) for x in BLOCK_BITS)
+            side = F.when(F.col("pair.x") == F.col("pair.y"), F.lit(FULL)).when(F.col("pair.x") == own, F.lit(low)).otherwise(F.lit(high))
+            dealt = big.select("*", F.explode(F.array_distinct(pairs)).alias("pair")).withColumn("mask", F.col("mask").bitwiseAND(side.cast("long")))
+            done.append(dealt.withColumn("cell", F.xxhash64("cell", "pair")).select(*SET_COLUMNS))
             return _union(done), _union(links) if links else None
         order = W.partitionBy("cell").orderBy(F.xxhash64("node", F.lit(level)), "node")
         chosen = big.select("cell", "node", "shingles").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
         pivots: dict[int, list] = {}
         for r in chosen.toLocalIterator():  # PIVOTS rows for each of at most 4096 cells
             pivots.setdefault(r.cell, []).append((r.node, bytes(r.shingles)))
-        rows = stage(big.select("cell", "node", "n", "shingles").mapInArrow(_voronoi(spark.sparkContext.broadcast(pivots)), "kind int, a long, node long, cell long, n long, shingles binary"), "regions")
+        rows = stage(big.select(*SET_COLUMNS).mapInArrow(_voronoi(spark.sparkContext.broadcast(pivots), LEVEL_BIT + level), "kind int, a long, node long, cell long, n long, shingles binary, copies long, mask long"), "regions")
         links.append(rows.where("kind = 0").select("a", F.col("node").alias("b")))
-        sets = rows.where("kind = 1").select("cell", "node", "n", "shingles")
+        sets = rows.where("kind = 1").select(*SET_COLUMNS)
     raise AssertionError("not reached")
 
 
@@ -418,30 +482,53 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, max_elements: int = MAX_ELEMENTS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document of (doc_id, text).
+    """(doc_id, n_shingles, component_id) of every document of (doc_id, text), without counting links.
 
     Null and empty texts, and texts without words, have no shingles and are alone. Repeated rows give a row
     each and count as copies. A null doc_id gives a null component and never stands for one. Other columns are ignored.
     """
+    return _joined(docs, max_elements, False).drop("n_links")
+
+
+def jaccard_links(docs: DataFrame, max_elements: int = MAX_ELEMENTS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links): as jaccard_components, with the number of other rows each row links with.
+
+    Copies link with each other, whatever their ids. A text without shingles has no link.
+    """
+    return _joined(docs, max_elements, True)
+
+
+def _joined(docs: DataFrame, max_elements: int, count: bool) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     sizes = stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sizes, "doc_id long, n long, node long"), "sizes")
     levels = spark.sparkContext.broadcast(shingle_levels(docs))
     cells = stage(candidate_cells(docs, levels), "cells")
-    sets = cell_sets(docs, cells)
-    if cells.groupBy("label").count().agg(F.max("count")).first()[0]:
-        sets = stage(sets, "sets")
-        sets, links = _split(sets, max_elements)
-        joined = sets.repartition("cell").sortWithinPartitions("cell").mapInArrow(_join_cells, "a long, b long")
-        found = connected_components(joined.union(links) if links is not None else joined)
+    copies = stage(sizes.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies")), "copies")
+    counted = F.lit(0).cast("long").alias("links")
+    if cells.isEmpty():
+        found = cells.select("node", "label", counted)
     else:
-        found = cells
-    found = stage(found, "found")
-    labelled = sizes.join(found, "node", "left").select("doc_id", "n", "node", F.coalesce("label", "node").alias("label"))
+        sets = stage(cell_sets(docs, cells.join(copies, "node")), "sets")
+        sets, links = _split(sets, max_elements)
+        joined = sets.repartition("cell").sortWithinPartitions("cell").mapInArrow(_join_cells(count), "a long, b long, links long")
+        joined = stage(joined, "joined")
+        edges = joined.select("a", "b")
+        found = connected_components(edges.union(links) if links is not None else edges)
+        if count:
+            found = found.join(joined.groupBy(F.col("b").alias("node")).agg(F.sum("links").alias("links")), "node", "left")
+        else:
+            found = found.select("node", "label", counted)
+    # what is known of a node besides the set itself: only of nodes with copies or links
+    known = stage(copies.where("copies > 1").join(found, "node", "full"), "found")
+    labelled = sizes.join(known, "node", "left").select(
+        "doc_id", "n", F.coalesce("label", "node").alias("label"), (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links")
+    )
     named = labelled.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     smallest = stage(named.groupBy("label").agg(F.min("doc_id").alias("smallest"), F.count(F.lit(1)).alias("members")).where("members > 1"), "smallest")
     return labelled.join(smallest, "label", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("smallest", "doc_id")).alias("component_id"),
+        "n_links",
     )

@@ -9,7 +9,7 @@ from goldrec.llm.common import read_table
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return jaccard_join.jaccard_links(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

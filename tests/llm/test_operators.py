@@ -70,6 +70,26 @@ def test_jaccard_join(spark, odd, limit):
     assert components(frame(spark, texts), max_elements=limit) == brute_components(texts)
 
 
+@pytest.mark.parametrize("limit", [400, 4_000_000])
+def test_jaccard_links_are_counted(spark, odd, limit):
+    rng = np.random.default_rng(6)
+    texts = list(odd)
+    for k in range(5):
+        base = prose(80 + k, 90).split()
+        for _ in range(24):  # a group of near copies, most pairs linked
+            own = list(base)
+            for _ in range(int(rng.integers(0, 4))):
+                own[int(rng.integers(0, 90))] = f"z{rng.integers(0, 10**6)}"
+            texts.append(" ".join(own))
+    texts += texts[-3:]
+    sets = [shingle_set(t) for t in texts]
+    links = [sum(i != j and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets) if a and b) for i, a in enumerate(sets)]
+    wanted = {i: (*x, links[i]) for i, x in brute_components(texts).items()}
+    got = jaccard_join.jaccard_links(frame(spark, texts), max_elements=limit).collect()
+    assert len(got) == len(texts)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in got} == wanted
+
+
 def test_jaccard_join_without_ids_or_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (3, None)], "doc_id long, text string")
     got = sorted(jaccard_join.jaccard_components(df).collect(), key=str)
