@@ -213,16 +213,26 @@ def phrase_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Itera
         yield phrases_of(own["item_id"].to_pylist(), own["text"].to_pylist())
 
 
-def _scan(phrases):
+def _scan(phrases, first: bool, last: bool):
+    """Rows (doc_id, text, n_words, spans, items) with the finds of these phrases added; the first scan gets (doc_id, text), the last drops the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, count, hits in _shards(batch.column(1), phrases.value):
-                spans = [[{"start": int(s), "end": int(e)} for s, e in hits[i][0]] if i in hits else [] for i in range(high - low)]
-                items = [[str(x) for x in hits[i][2]] if i in hits else [] for i in range(high - low)]
-                yield pa.record_batch([
-                    batch.column(0).slice(low, high - low), pa.array(count, pa.int64()),
-                    pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(items, pa.list_(pa.string())),
-                ], ["doc_id", "n_words", "spans", "items"])
+                old = [([], [])] * (high - low) if first else list(zip(*(batch.column(c).slice(low, high - low).to_pylist() for c in (3, 4)), strict=True))
+                spans, items = [], []
+                for i, (known, names) in enumerate(old):
+                    more, _, found = hits.get(i, ([], [], []))
+                    both = np.array([*((x["start"], x["end"]) for x in known), *more], np.int64).reshape(-1, 2)
+                    spans.append([{"start": int(s), "end": int(e)} for s, e in merge_spans(both[:, 0], both[:, 1] - both[:, 0])])
+                    items.append(sorted({*names, *map(str, found)}))
+                columns = {
+                    "doc_id": batch.column(0).slice(low, high - low), "text": batch.column(1).slice(low, high - low), "n_words": pa.array(count, pa.int64()),
+                    "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "items": pa.array(items, pa.list_(pa.string())),
+                }
+                if last:
+                    del columns["text"]
+                yield pa.record_batch(list(columns.values()), list(columns))
 
     return run
 
@@ -230,30 +240,18 @@ def _scan(phrases):
 def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, spans, items): word spans [start, end) inside occurrences, and the ids of the items they belong to, as sorted text.
 
-    Null and empty texts have no words. Equal rows give equal rows. With a benchmark larger than one block every block
-    passes over the documents, and the parts of a document (by id and text) are merged.
+    Null and empty texts have no words. Each row gives a row, whatever its id. With a benchmark larger than one block
+    every row passes by all blocks and gathers its spans and items on the way.
     """
     spark = docs.sparkSession
     key = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {key}, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-    blocks = []
-    for phrases in phrase_blocks(benchmark, block_words):
-        blocks.append(docs.select("doc_id", "text").mapInArrow(_scan(spark.sparkContext.broadcast(phrases)), schema))
-    if len(blocks) == 1:
-        return blocks[0]
-    parts = None
-    for i, b in enumerate(blocks):
-        b = b if i == 0 else b.where(F.size("spans") > 0)
-        parts = b if parts is None else parts.union(b)
-    merged = F.aggregate(
-        F.array_sort(F.flatten(F.collect_list("spans"))),
-        F.expr("cast(array() AS array<struct<start:long,end:long>>)"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]), F.concat(
-            F.slice(acc, 1, F.size(acc) - 1),
-            F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))),
-        )).otherwise(F.concat(acc, F.array(x))),
-    )
-    return parts.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), merged.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    found = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+    rows = docs.select("doc_id", "text")
+    blocks = [spark.sparkContext.broadcast(phrases) for phrases in phrase_blocks(benchmark, block_words)]
+    for i, held in enumerate(blocks):
+        last = i == len(blocks) - 1
+        rows = rows.mapInArrow(_scan(held, i == 0, last), f"doc_id {key}, {found}" if last else f"doc_id {key}, text string, {found}")
+    return rows
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -265,36 +263,99 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without sorted byte spans; a line feed takes the place of each."""
+    raw, kept, at = text.encode(), [], 0
+    for s, e in spans:
+        kept.append(raw[at:s])
+        at = e
+    return b"\n".join([*kept, raw[at:]]).decode()
+
+
 def clean_text(text: str, phrases: Phrases) -> str:
     """The text without removal spans; a line feed takes the place of each. Repeats until nothing is left to remove."""
     while True:
-        raw = text.encode()
         spans = [s for _, _, _, hits in _shards(pa.array([text], pa.string()), phrases) for own in hits.values() for s in own[1]]
         if not spans:
             return text
-        kept, at = [], 0
-        for s, e in spans:
-            kept.append(raw[at:s])
-            at = e
-        text = b"\n".join([*kept, raw[at:]]).decode()
+        text = cut(text, spans)
+
+
+def join_spans(spans: list[dict]) -> list[tuple[int, int]]:
+    """Byte spans of the union of word spans [start, end) with their bytes [low, high)."""
+    out: list[list[int]] = []
+    for x in sorted(spans, key=lambda x: (x["start"], x["end"])):
+        if out and x["start"] <= out[-1][0]:
+            out[-1] = [max(out[-1][0], x["end"]), out[-1][1], max(out[-1][2], x["high"])]
+        else:
+            out.append([x["end"], x["low"], x["high"]])
+    return [(low, high) for _, low, high in out]
+
+
+SPANS = pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "end", "low", "high")]))
+
+
+def _add_spans(phrases, at: int):
+    """Adds the spans of these phrases to the last column but one; the last one says whether a row is still searched."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, old, live = batch.columns
+            texts = pa.array([t if x else None for t, x in zip(columns[at].to_pylist(), live.to_pylist(), strict=True)], pa.string())
+            spans = old.to_pylist()
+            for low, _, _, hits in _shards(texts, phrases.value):
+                for i, (in_row, in_bytes, _) in hits.items():
+                    spans[low + i] = spans[low + i] + [dict(zip(("start", "end", "low", "high"), map(int, (*w, *b)), strict=True)) for w, b in zip(in_row, in_bytes, strict=True)]
+            yield pa.record_batch([*columns, pa.array(spans, SPANS), live], batch.schema.names)
+
+    return run
+
+
+def _cut_spans(at: int):
+    """Texts without their spans; a row is searched again if it had any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, spans, _ = batch.columns
+            found = spans.to_pylist()
+            texts = [cut(t, join_spans(x)) if x else t for t, x in zip(columns[at].to_pylist(), found, strict=True)]
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.record_batch([*columns, pa.array([[]] * len(texts), SPANS), pa.array([bool(x) for x in found])], batch.schema.names)
+
+    return run
+
+
+def _remove_by_blocks(docs: DataFrame, blocks: list, at: int) -> DataFrame:
+    """Each round finds the spans of all blocks on the same text and cuts their union, until a round finds nothing."""
+    kind = "array<struct<start:bigint,end:bigint,low:bigint,high:bigint>>"
+    rows = docs.withColumn("_spans", F.expr(f"cast(array() AS {kind})")).withColumn("_live", F.lit(True))
+    while True:
+        schema = rows.schema
+        for held in blocks:
+            rows = rows.mapInArrow(_add_spans(held, at), schema)
+        rows = stage(rows.mapInArrow(_cut_spans(at), schema), "cut")
+        if rows.where("_live").isEmpty():
+            return rows.select(*docs.columns)
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents, each without the words inside occurrences of test phrases; other columns stay as they are.
 
-    Null stays null. A document that consists of test phrases only is left with what lies between its words.
+    Null stays null. A document that consists of test phrases only is left with what lies between its words. The
+    number of blocks of the benchmark does not change the result.
     """
     at = docs.columns.index(text_column)
-    for phrases in phrase_blocks(benchmark, block_words):
-        held = docs.sparkSession.sparkContext.broadcast(phrases)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column(at)
-                changed = {low + i for low, _, _, hits in _shards(texts, held.value) for i in hits}
-                if changed:
-                    texts = pa.array([clean_text(texts[i].as_py(), held.value) if i in changed else texts[i].as_py() for i in range(len(texts))], texts.type)
-                yield pa.record_batch([*batch.columns[:at], texts, *batch.columns[at + 1 :]], batch.schema.names)
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    blocks = [docs.sparkSession.sparkContext.broadcast(phrases) for phrases in phrase_blocks(benchmark, block_words)]
+    if len(blocks) > 1:
+        return _remove_by_blocks(docs, blocks, at)
+    held = blocks[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at)
+            changed = {low + i for low, _, _, hits in _shards(texts, held.value) for i in hits}
+            if changed:
+                texts = pa.array([clean_text(texts[i].as_py(), held.value) if i in changed else texts[i].as_py() for i in range(len(texts))], texts.type)
+            yield pa.record_batch([*batch.columns[:at], texts, *batch.columns[at + 1 :]], batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)

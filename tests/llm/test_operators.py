@@ -264,6 +264,25 @@ def test_decontamination(spark, odd, block):
     assert decontaminate.contamination_report(frame(spark, texts), bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_blocks_of_the_benchmark_do_not_change_results(spark):
+    rows, items = [], []
+    for k in range(6):
+        w = [f"q{k}x{i}" for i in range(40)]
+        items += [(10 * k, " ".join(w[:14])), (10 * k + 1, " ".join(w[8:20])), (10 * k + 2, " ".join(w[24:29] + w[34:39]))]
+        # the last item appears only once the passage between its halves is cut
+        rows.append((k, " ".join(["a", *w[:30], "b", *w])))
+        rows.append((k, " ".join([*w[24:29], *w[:20], *w[34:39]])))
+    rows += [(None, rows[0][1]), (None, rows[1][1]), (None, "other"), (None, None), rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    results = []
+    for block in (2_000_000, 20):
+        found = decontaminate.contamination(docs, bench, block).collect()
+        clean = decontaminate.remove_contamination(docs, bench, block_words=block).collect()
+        results.append((sorted(map(str, found)), sorted(map(str, clean))))
+    assert len(results[0][0]) == len(rows) and results[0] == results[1]
+
+
 def test_index_on_few_symbols():
     rng = np.random.default_rng(2)
     for _ in range(40):
