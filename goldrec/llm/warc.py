@@ -86,15 +86,20 @@ def parse_record(member: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block.partition(b"\r\n\r\n")[2]
 
 
+def _payload_key() -> tuple:
+    """Digest and length of the payload; a page_id may repeat with different ones."""
+    body = F.coalesce(F.col("html"), F.lit(""))
+    return F.sha1(F.encode(body, "UTF-8")).alias("body_digest"), F.octet_length(body).alias("n")
+
+
 def revisits(pages: DataFrame) -> DataFrame:
-    """(page_id, refers_to) of rows whose payload the row with the largest page_id of that payload repeats.
+    """(page_id, body_digest, n, refers_to) of rows whose payload the row with the largest page_id of that payload repeats.
 
     Only ids and digests are grouped. Rows that tie for the largest id are all responses; a null id is below all others.
     """
-    body = F.coalesce(F.col("html"), F.lit(""))
-    keyed = stage(pages.select(F.col("page_id").cast("long"), F.sha1(F.encode(body, "UTF-8")).alias("digest"), F.octet_length(body).alias("n")), "digests")
-    last = keyed.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("copies")).where("copies > 1 AND refers_to IS NOT NULL")
-    return keyed.join(last, ["digest", "n"]).where("page_id < refers_to").select("page_id", "refers_to").distinct()
+    keyed = stage(pages.select(F.col("page_id").cast("long"), *_payload_key()), "digests")
+    last = keyed.groupBy("body_digest", "n").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("copies")).where("copies > 1 AND refers_to IS NOT NULL")
+    return keyed.join(last, ["body_digest", "n"]).where("page_id < refers_to").select("page_id", "body_digest", "n", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
@@ -104,8 +109,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     as a response.
     """
     roles = stage(revisits(pages), "revisits")
-    pages = pages.select(F.col("page_id").cast("long"), "url", "html")
-    rows = join_counted(pages, roles, "page_id", "left", 24).select("page_id", "url", "html", "refers_to")
+    pages = pages.select(F.col("page_id").cast("long"), "url", "html", *_payload_key())
+    rows = join_counted(pages, roles, ["page_id", "body_digest", "n"], "left", 80).select("page_id", "url", "html", "refers_to")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
@@ -149,6 +154,8 @@ def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = GAP, most: int = R
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """(page_id, record_type, refers_to, url, payload, payload_digest) of the selected index rows.
 
+    The digest is of the payload as read; a revisit has none and names that of the record it refers to.
+
     Rows are dealt by stretches of READ bytes of one file and sorted by offset, so a task's neighbours share reads.
     """
 
@@ -173,8 +180,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     out: list[list] = [[] for _ in names]
                     for i in range(low + first, low + last):
                         fields, payload = parse_record(raw[offsets[i] - start : offsets[i] - start + lengths[i]])
+                        digest = fields["warc-payload-digest"].removeprefix("sha1:") if fields["warc-type"] == "revisit" else payload_digest(payload)
                         key, refers = fields.get("x-record-key"), fields.get("x-refers-to-key")
-                        row = (int(key) if key else None, fields["warc-type"], int(refers) if refers else None, fields.get("warc-target-uri"), payload, payload_digest(payload))
+                        row = (int(key) if key else None, fields["warc-type"], int(refers) if refers else None, fields.get("warc-target-uri"), payload, digest)
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
@@ -197,8 +205,8 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     back = read_records(index, folder).select("page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest")
     back = stage(back, "records")
     response = back.where("record_type = 'response'")
-    revisit = back.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to")
-    target = response.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").dropDuplicates(["refers_to"])
-    seen = revisit.join(target, "refers_to")
+    revisit = back.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to", "payload_digest")
+    target = response.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").dropDuplicates(["refers_to", "payload_digest"])
+    seen = revisit.join(target, ["refers_to", "payload_digest"])
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return response.select(*columns).union(seen.select(*columns))

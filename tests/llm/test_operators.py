@@ -114,6 +114,15 @@ def test_warc(spark):
     assert warc.archive_round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_with_an_id_of_two_payloads(spark):
+    rows = [(1, "u", "one"), (1, "u", "two"), (2, "u", "two"), (3, "u", "four"), (2, "u", "one and more"), (3, "u", "one")]
+    got = warc.archive_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    digest = {h: base64.b32encode(hashlib.sha1(h.encode()).digest()).decode() for _, _, h in rows}
+    to = {(1, "one"): 3, (1, "two"): 2}
+    wanted = [(i, len(h), digest[h], "revisit" if (i, h) in to else "response", to.get((i, h))) for i, _, h in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(wanted, key=str)
+
+
 def test_byte_ranges_are_coalesced():
     assert warc.coalesce_ranges([(0, 5), (5, 5), (20, 5), (200, 5)], gap=10, most=30) == [(0, 25, 0, 3), (200, 205, 3, 4)]
     fields, payload = warc.parse_record(warc.write_record(9, "http://a/\r\nX: y", b"body\r\n\r\nmore", "D", None, False))
