@@ -22,17 +22,25 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; a row without id is kept.
 
-    Repeats of one row share an id and so are one document; one of them stays.
+    A document is an id with a text: repeats of one row are one document, of which one stays, and texts that share an id
+    are told apart, so that only one with a kept partner goes.
     """
-    groups = stage(jaccard_join.jaccard_components(docs), "groups")
-    others = stage(groups.where("doc_id <> component_id").select("doc_id").distinct(), "others")
-    repeated = stage(groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("_repeated")), "repeated")
-    kept = join_counted(docs, others, "doc_id", "left_anti", 16)
+    keyed = docs.withColumn("_key", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = jaccard_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    groups = stage(found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id"), "groups")
+    shared = stage(groups.where("_key <> component_id").select("component_id").distinct(), "shared")
+    members = join_counted(groups, shared, "component_id", "left_semi", 16).distinct()
+    ids = keyed.where("_key IS NOT NULL").select("_key", "doc_id").distinct()
+    members = stage(ids.join(members, "_key"), "members")
+    first = stage(members.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key"))["_key"].alias("first")), "first")
+    others = stage(join_counted(members, first, "component_id", "inner", 16).where("_key <> first").select("_key").distinct(), "others")
+    repeated = stage(groups.groupBy("_key").count().where("count > 1").select("_key", F.lit(True).alias("_repeated")), "repeated")
+    kept = join_counted(keyed, others, "_key", "left_anti", 16)
     if repeated.isEmpty():
-        return kept
-    marked = join_counted(kept, repeated, "doc_id", "left", 16)
+        return kept.select(*docs.columns)
+    marked = join_counted(kept, repeated, "_key", "left", 16)
     single = marked.where("_repeated IS NULL").select(*docs.columns)
-    return single.union(marked.where("_repeated").dropDuplicates(["doc_id"]).select(*docs.columns))
+    return single.union(marked.where("_repeated").dropDuplicates(["_key"]).select(*docs.columns))
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

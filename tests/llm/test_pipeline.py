@@ -48,3 +48,12 @@ def test_stages(spark, folder):
 def test_run_returns_one_row_per_kept_document(spark, folder):
     rows = corpus_pipeline.run(spark, folder[0]).collect()
     assert len({r.doc_id for r in rows}) == len(rows) and all(len(r.ids_sha256) == 64 for r in rows)
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    a, b, c = prose(1), prose(2), prose(3)
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (3, prose(4)), (4, b + " end"), (None, a), (5, c.upper()), (6, None), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    wanted = [(1, a), (2, b), (3, c), (3, prose(4)), (None, a), (6, None)]
+    assert sorted(map(tuple, kept), key=str) == sorted(wanted, key=str)
