@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldrec.llm import bpe, decontaminate, fingerprint, jaccard_join, langid, quality, secret_scan, sharding, url_filter, warc
+from goldrec.llm import (
+    bpe, decontaminate, fingerprint, hard_negatives, jaccard_join, langid, quality, secret_scan, sharding, spelling, token_count, url_filter,
+    warc,
+)
 from goldrec.llm.common import read_table
 
 
@@ -52,11 +55,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op11_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"]))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_jaccard_join, op2_warc, op3_language_id, op4_url_filter, op5_sharding, op6_decontamination, op7_quality,
-        op8_secret_scan, op9_fingerprint, op10_bpe,
+        op8_secret_scan, op9_fingerprint, op10_bpe, op11_token_count, op12_hard_negatives, op13_spelling,
     )
 }
-SQL = {"op4_url_filter": url_filter.SQL}
+SQL = {"op4_url_filter": url_filter.SQL, "op12_hard_negatives": hard_negatives.SQL, "op13_spelling": spelling.SQL}
