@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldrec.functions.text import canonical_key, is_digits, strip
+from goldrec.sources.records import NOTHING, records
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -19,31 +20,39 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
-#: Stands for a field with nothing between its separators; U+FFFF is no character, so no text holds it.
-_NOTHING = "\uffffnull\uffff"
 #: Every character of a value is data: outer blanks, line breaks, quotes. A field "" is an empty text, an absent one null.
 LOSSLESS_READ = {
     "quote": '"',
     "escape": '"',
-    "multiLine": True,
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-    "nullValue": _NOTHING,
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": NOTHING,
     "emptyValue": "",
-    "maxCharsPerColumn": -1,
+    "maxCharsPerColumn": "-1",
 }
 
 
+def _parse(found: DataFrame, columns: list[str], wanted: list[str], sep: str, skip: int) -> DataFrame:
+    """Columns of the records behind the first ones of each file. A blank line is no record."""
+    kinds = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+    parsed = F.from_csv("text", kinds, {**LOSSLESS_READ, "sep": sep, "lineSep": "\n"})
+    kept = found.where((F.col("number") >= skip) & (F.col("text") != ""))
+    if len(columns) == 1:
+        parsed = F.when(F.col("text") != NOTHING, parsed)
+    return kept.select(parsed.alias("row")).select(*[F.col("row").getField(c).alias(c) for c in wanted])
+
+
 def read_delimited(
     spark: SparkSession, path: str, columns: list[str] | None = None, sep: str = ","
 ) -> DataFrame:
     """Delimited text with a header line, every column as text (SRC-02, SRC-03).
 
-    Without ``inferSchema`` Spark reads the header only, and all columns are strings. A value may
-    hold line breaks, so a file is read by one task; write many files where a table is large.
+    The header of one file names the columns; nothing is inferred. A value may hold line breaks, and yet a file is
+    read by as many tasks as it has blocks (``records``). The first record of each file is its header.
     """
-    df = spark.read.options(**LOSSLESS_READ).option("header", True).option("sep", sep).csv(path)
-    return df.select(*columns) if columns else df
+    names = spark.read.options(**LOSSLESS_READ).option("header", True).option("sep", sep).csv(path).columns
+    return _parse(records(spark, path, sep), names, columns or names, sep, 1)
 
 
 def read_with_preamble(
@@ -53,15 +62,7 @@ def read_with_preamble(
 
     The first two records of each file are left out, whatever they hold, and no others.
     """
-    # the preamble is one field, so all columns are read even if few are wanted
-    records = (
-        spark.read.schema(text_schema(columns)).options(**LOSSLESS_READ).option("header", False)
-        .option("sep", sep).option("enforceSchema", True).csv(path)
-        .select(*[f"`{c}`" for c in columns], F.col("_metadata.file_path").alias("_file"))
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    first = records.groupBy("_file").agg(F.min("_place").alias("_first"))
-    return records.join(first, "_file").where(F.col("_place") > F.col("_first") + 1).select(*[f"`{c}`" for c in columns])
+    return _parse(records(spark, path, sep), columns, columns, sep, 2)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldrec.sources.records import NOTHING
+
 
 def flatten_for_text(df: DataFrame) -> DataFrame:
     """Arrays become '|'-joined text and dates ISO text, as text sinks need."""
@@ -20,11 +22,11 @@ def flatten_for_text(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file: int = 1_000_000) -> None:
+def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file: int = 0) -> None:
     """Delimited text with header (SNK-01, SNK-03), one file per task, UTF-8 without BOM (SNK-02).
 
     Values are written as they are. Empty text is written as "" and null as nothing, and
-    ``read_delimited`` tells them apart. ``max_rows_per_file`` keeps files of a large table readable in parallel.
+    ``read_delimited`` tells them apart. In a table of one column nothing would be no line, so null is written as a mark there.
     """
     (
         flatten_for_text(df)
@@ -34,6 +36,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file:
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", '""')
+        .option("nullValue", NOTHING if len(df.columns) == 1 else "")
         .option("lineSep", "\n")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

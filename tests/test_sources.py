@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from goldrec.session import scratch_path, shared_folder, stage
-from goldrec.sources import readers, writers
+from goldrec.sources import readers, records, writers
 
 
 def write(path, text):
@@ -108,3 +110,89 @@ def test_stage_writes_under_the_named_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_folder(spark))
     staged = stage(spark.range(5), "five")
     assert staged.count() == 5 and "Range" not in staged._jdf.queryExecution().optimizedPlan().toString()
+
+
+# records of quoted text in many blocks
+
+AWKWARD = [
+    " lead trail ", "two\nlines", "", None, "cr\rhere", "crlf\r\nx", 'q"uo"te', "back\\slash", "\\", '"', "a,b;c", "\tx\t", "\n", " ", '""', "\\N", "end\r",
+    '\n"\n', ',"\n",', "x" * 300 + "\n" + "y" * 300, "\n" * 70, '"""', "é\n漢", ',"',
+]
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Every file is read in blocks of so many bytes."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in keys}
+
+    def use(n):
+        spark.conf.set(keys[0], str(n))
+        spark.conf.set(keys[1], "0")
+
+    yield use
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("size", [90, 1000, 1 << 20])
+def test_text_survives_many_blocks(spark, tmp_path, small_blocks, size):
+    df = spark.createDataFrame([(str(i), AWKWARD[i % len(AWKWARD)], AWKWARD[(5 * i) % len(AWKWARD)]) for i in range(60)], "i string, v string, w string")
+    writers.write_delimited(df.coalesce(1), str(tmp_path / "t"))
+    small_blocks(size)
+    back = readers.read_delimited(spark, str(tmp_path / "t"))
+    got = sorted(tuple(r) for r in back.collect())
+    assert got == sorted(tuple(r) for r in df.collect())
+    parts = back.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+
+
+@pytest.mark.parametrize("size", [60, 1 << 20])
+def test_null_rows_of_one_column(spark, tmp_path, small_blocks, size):
+    df = spark.createDataFrame([(v,) for v in [*AWKWARD, None, "", None, "x"]], "siren string")
+    writers.write_delimited(df.repartition(3), str(tmp_path / "t"))
+    small_blocks(size)
+    got = [r.siren for r in readers.read_delimited(spark, str(tmp_path / "t")).collect()]
+    assert sorted(got, key=repr) == sorted((r.siren for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("size", [9, 1 << 20])
+def test_foreign_files(spark, tmp_path, small_blocks, size):
+    (tmp_path / "a.csv").write_bytes('﻿siren;nom\r\n1;"a\r\nb"\r\n\r\n2;12" pipe\r\n3;"x"y;z\r\n4;"open\r\nto the end'.encode())
+    (tmp_path / "b.csv").write_bytes('siren;nom\n5;é\r\n6\n'.encode())
+    small_blocks(size)
+    got = sorted(tuple(r) for r in readers.read_delimited(spark, str(tmp_path), sep=";").collect())
+    assert [tuple(x for x in r) for r in got if r[0] in "1256"] == [("1", "a\r\nb"), ("2", '12" pipe'), ("5", "é\r"), ("6", None)]
+    assert got[2][0] == "3" and got[3][0] == "4" and got[3][1].replace('"', "") == "open\r\nto the end"
+
+
+@pytest.mark.parametrize("size", [6, 1 << 20])
+def test_preamble_over_blocks(spark, tmp_path, small_blocks, size):
+    for name in ("1.csv", "2.csv"):
+        write(tmp_path / name, 'sep=,\n"title",site\n"sep=,",x\n"title",site\n"two\n\nlines",b\n')
+    small_blocks(size)
+    rows = readers.read_with_preamble(spark, str(tmp_path), ["title", "site"]).collect()
+    assert sorted(tuple(r) for r in rows) == sorted(2 * [("sep=,", "x"), ("title", "site"), ("two\n\nlines", "b")])
+
+
+def test_records_are_numbered(spark, tmp_path, small_blocks):
+    write(tmp_path / "n.csv", "".join(f'{i},"{"x" * (i % 9)}\n{i}"\n' for i in range(30)))
+    small_blocks(11)
+    rows = records.records(spark, str(tmp_path / "n.csv")).collect()
+    assert sorted((r.number, r.text) for r in rows) == [(i, f'{i},"{"x" * (i % 9)}\n{i}"') for i in range(30)]
+
+
+def test_every_split_agrees_with_the_whole(spark, tmp_path, small_blocks):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice('ab,"\n\r') for _ in range(40)) for _ in range(40)]
+    df = spark.createDataFrame([(str(i), t, texts[-i]) for i, t in enumerate(texts)], "i string, v string, w string")
+    writers.write_delimited(df.coalesce(1), str(tmp_path / "t"))
+    for size in (29, 110):
+        small_blocks(size)
+        assert sorted(tuple(r) for r in readers.read_delimited(spark, str(tmp_path / "t")).collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_preamble_needs_one_parse(spark, tmp_path):
+    write(tmp_path / "c.csv", "sep=,\ntitle,Country\na,b\n")
+    plan = readers.read_with_preamble(spark, str(tmp_path / "c.csv"), ["title"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
