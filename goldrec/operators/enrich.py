@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 from goldrec import vocab
 from goldrec.functions.codes import active_status, code_text, lenient_timestamp, lookup, member, positive_flag
 from goldrec.functions.text import is_blank, is_digits, strip
-from goldrec.operators.joins import attach, join_unique
+from goldrec.operators.joins import attach, broadcast_bytes, join_unique
+from goldrec.operators.keyfilter import may_be_wanted
+
+#: Bytes of a key in a broadcast table.
+KEY_BYTES = 64
 
 TRANSFORMS: dict[str, Callable[[Column], Column]] = {
     "est_active": active_status,
@@ -37,20 +41,19 @@ def registry_for_keys(
     columns: list[str],
     *ties: str,
 ) -> DataFrame:
-    """Latest registry row of each wanted key (ENR-03).
+    """Latest registry row of each wanted key (ENR-03); null keys are not wanted.
 
-    The minimum of (order, row) is the latest row; it is taken in each map task first, so a key
-    with many periods ships one row per task. The semi-join then sees one row per key.
+    Rows of other keys are dropped in the scan, exactly by a broadcast semi-join if the counted keys are few, else by a
+    filter of a few bits per key. Each map task then ships at most one row per key that is left.
     """
-    wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_wanted"))
     names = list(dict.fromkeys([key, date, *columns, *ties]))
-    when = lenient_timestamp(F.col(date))
-    order = F.struct(when.isNull().alias("undated"), (-F.unix_micros(when)).alias("age"), *ties)
-    newest = registry.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min(F.struct(order.alias("order"), F.struct(*names).alias("row"))).alias("_least")
-    )
-    found = join_unique(newest, wanted, F.col(key), "_wanted", "left_semi")
-    return found.select(*[F.col(f"_least.row.{n}").alias(n) for n in names])
+    registry = registry.select(*names)
+    wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_wanted"))
+    n = wanted.count()
+    few = n * KEY_BYTES <= broadcast_bytes(registry.sparkSession)
+    rows = join_unique(registry, F.broadcast(wanted), F.col(key), "_wanted", "left_semi") if few else may_be_wanted(registry, key, wanted, "_wanted", n)
+    newest = latest_per_key(rows, key, lenient_timestamp(F.col(date)), *ties)
+    return newest if few else join_unique(newest, wanted, F.col(key), "_wanted", "left_semi")
 
 
 def trace_columns(target: str) -> tuple[str, str]:

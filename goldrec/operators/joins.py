@@ -9,12 +9,21 @@ skew join, each part meeting the few rows of the other side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.functions.text import canonical_key
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    """Size up to which the session broadcasts a table; 0 if it never does."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().strip()
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    number = text.rstrip("bkmgti")
+    unit = text[len(number) :][:1]
+    return max(0, int(number)) << units.get(unit, 0)
+
+
 def join_unique(df: DataFrame, right: DataFrame, left_key: Column, right_key: str, how: str) -> DataFrame:
     """Join with a side that is unique per key."""
     keyed = df.withColumn("_join_key", left_key)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from goldrec import vocab
 from goldrec.functions.codes import lenient_timestamp
 from goldrec.operators import enrich as E
-from goldrec.operators import quality
+from goldrec.operators import joins, keyfilter, quality
 from goldrec.plans import golden
 
 REGISTRY = ["siren", "dateDebut", "nicSiegeUniteLegale", *[c for c, _, _ in vocab.ENRICH_FIELDS]]
@@ -174,3 +174,50 @@ def test_tag_listed(spark):
     df = spark.createDataFrame([("1",), ("2",)], "siren string")
     reviewed = spark.createDataFrame([("1",), ("",), (None,)], "siren string")
     assert {r.siren: r.tag_ngi for r in quality.tag_listed(df, reviewed, "siren").collect()} == {"1": True, "2": False}
+
+
+def periods(spark, n):
+    """n keys with three periods each, of which every fortieth is wanted."""
+    key = F.lpad(F.col("id").cast("string"), 9, "0")
+    start = F.concat(F.lit("20"), F.lpad((F.col("k") * 7 % 24).cast("string"), 2, "0"), F.lit("-01-01"))
+    rows = spark.range(n).select(key.alias("siren"), F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k"), "id")
+    table = rows.select("siren", start.alias("dateDebut"), F.concat("siren", F.lit("-"), "k").alias("name"))
+    return table, spark.range(0, n, 40).select(key.alias("siren")).union(spark.createDataFrame([("no such",), (None,)], "siren string"))
+
+
+def test_filter_of_wanted_keys_passes_little_else(spark):
+    table, wanted = periods(spark, 40_000)
+    passed = keyfilter.may_be_wanted(table, "siren", wanted, "siren", 1_002).select("siren", "name").collect()
+    expected = {r.name for r in table.join(wanted, "siren").collect()}
+    assert expected <= {r.name for r in passed} and len(passed) <= 1.05 * len(expected)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_wanted_rows_are_the_same_in_both_plans(spark, threshold):
+    table, wanted = periods(spark, 4_000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = E.registry_for_keys(table, wanted, "siren", "dateDebut", ["name"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.siren, r.dateDebut, r.name) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == [(f"{i:09d}", "2014-01-01", f"{i:09d}-2") for i in range(0, 4_000, 40)]
+    assert ("Subquery" in plan) == (threshold == "-1") and plan.count("WindowGroupLimit") == 2
+    assert "SortAggregate" not in plan
+
+
+def test_filter_size_follows_the_keys():
+    assert keyfilter.filter_words(0) == 1 and keyfilter.filter_words(1000) == 512
+    assert keyfilter.filter_words(50_000_000) == keyfilter.MAX_WORDS and keyfilter.filter_words(60_000_000) == 0
+
+
+def test_broadcast_size_of_the_session(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, size in (("-1", 0), ("10485760b", 10 << 20), ("256k", 256 << 10), ("2GB", 2 << 30), ("7", 7)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert joins.broadcast_bytes(spark) == size
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
