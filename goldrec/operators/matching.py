@@ -32,6 +32,8 @@ they make up, collapse before the join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -166,19 +168,29 @@ def _letter_bits(places: Column, word: int) -> Column:
     return F.aggregate(places, F.lit(0).cast("bigint"), flip)
 
 
+def _gram_counts(df: DataFrame) -> dict[int, int]:
+    """Uses of every gram; at most N_GRAMS rows reach the driver whatever the table holds."""
+    plain = F.pmod("gram", F.lit(N_GRAMS)).alias("gram")
+    grams = df.select(F.explode("codes").alias("gram")).groupBy(plain).count()
+    return {row["gram"]: row["count"] for row in grams.collect()}
+
+
+def index_ranks(names: DataFrame) -> list[int]:
+    """Place of every gram in an order that puts first what the fewest indexed names use."""
+    listed = _gram_counts(names)
+    ranks = [0] * N_GRAMS
+    for place, gram in enumerate(sorted(range(N_GRAMS), key=lambda g: (listed.get(g, 0), g))):
+        ranks[gram] = place
+    return ranks
+
+
 def _gram_ranks(queries: DataFrame, index: DataFrame) -> tuple[list[int], int]:
     """Place of every gram in the global order, and how many the queries never use.
 
-    Counted over distinct names; at most N_GRAMS rows reach the driver whatever
-    the tables hold.
+    Counted over distinct names.
     """
 
-    def counts(df: DataFrame) -> dict[int, int]:
-        plain = F.pmod("gram", F.lit(N_GRAMS)).alias("gram")
-        grams = df.select(F.explode("codes").alias("gram")).groupBy(plain).count()
-        return {row["gram"]: row["count"] for row in grams.collect()}
-
-    asked, listed = counts(queries), counts(index)
+    asked, listed = _gram_counts(queries), _gram_counts(index)
     by_meetings = sorted(range(N_GRAMS), key=lambda g: (asked.get(g, 0) * listed.get(g, 0), g))
     ranks = [0] * N_GRAMS
     for place, gram in enumerate(by_meetings):
@@ -186,7 +198,7 @@ def _gram_ranks(queries: DataFrame, index: DataFrame) -> tuple[list[int], int]:
     return ranks, sum(1 for g in by_meetings if not asked.get(g, 0) * listed.get(g, 0))
 
 
-def _ordered_grams(numbered: Column, ranks: list[int]) -> Column:
+def ordered_grams(numbered: Column, ranks: list[int]) -> Column:
     """Grams of a name in the global order; a repeated gram counts as a rarer one."""
     table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
@@ -202,18 +214,34 @@ def _least_common(total: Column, score: float) -> Column:
     return F.ceil(total * (score / 200) - 1e-9)
 
 
-def _prefix_size(n: Column, score: float) -> Column:
+def prefix_size(n: Column, score: float) -> Column:
     """How many first grams of a name of n letters to list, for any partner length the score allows."""
     shortest = F.ceil(n * (score / (200 - score)) - 1e-9)
     fewest = F.ceil((n + shortest) * (3 * score / 200 - 1) + 1 - 1e-9)
     return F.least(n + 1, n + 3 - fewest).cast("int")
 
 
+def likely_similar(score: float) -> Column:
+    """Whether lengths and letter bits of a query (q_) and an indexed name (x_) allow the score."""
+    total = F.col("q_n") + F.col("x_n")
+    least = _least_common(total, score)
+    differing = F.bit_count(F.col("q_low").bitwiseXOR(F.col("x_low"))) + F.bit_count(
+        F.col("q_high").bitwiseXOR(F.col("x_high"))
+    )
+    return (F.least("q_n", "x_n") >= least) & (differing <= total - least * 2)
+
+
+def enough_common(score: float) -> Column:
+    """Whether the grams of a query and an indexed name allow the score."""
+    total = F.col("q_n") + F.col("x_n")
+    return F.size(F.array_intersect("q_grams", "x_grams")) >= _least_common(total, score) * 3 - total + 1
+
+
 def _pair_code(first: Column, second: Column) -> Column:
     return F.shiftleft(first.cast("bigint"), 32) + second.cast("bigint")
 
 
-def _gram_pairs(grams: Column) -> Column:
+def gram_pairs(grams: Column) -> Column:
     """Every pair of the listed grams, in order, as one number each."""
     return F.flatten(
         F.transform(
@@ -227,7 +255,7 @@ def _gram_pairs(grams: Column) -> Column:
 
 def listing_bytes(queries: DataFrame, score: float) -> tuple[int, int]:
     """Number of queries and an upper bound of the size of their gram pairs."""
-    listed = _prefix_size(F.col("n"), score)
+    listed = prefix_size(F.col("n"), score)
     size = F.sum(listed * (listed - 1) / 2 * (F.col("n") * 12 + 100))
     count, total = queries.agg(F.count(F.lit(1)), size).first()
     return count, int(total or 0)
@@ -245,14 +273,14 @@ def similar_pairs(
 
     def spelled(df: DataFrame, side: str) -> DataFrame:
         grams = F.col(f"{side}_grams")
-        named = df.withColumn(f"{side}_grams", _ordered_grams(F.col("codes"), ranks))
-        first = F.slice(grams, F.lit(1), _prefix_size(F.col("n"), score))
+        named = df.withColumn(f"{side}_grams", ordered_grams(F.col("codes"), ranks))
+        first = F.slice(grams, F.lit(1), prefix_size(F.col("n"), score))
         can_meet = F.filter(first, lambda g: F.pmod(g, F.lit(N_GRAMS)) >= unused)
         own = [F.col(c).alias(f"{side}_{c}") for c in df.columns if c != "codes"]
         return named.select(*own, grams, can_meet.alias(f"{side}_prefix"))
 
     def listed(df: DataFrame, side: str, *columns: str) -> DataFrame:
-        pairs = F.explode(_gram_pairs(F.col(f"{side}_prefix"))).alias("pair")
+        pairs = F.explode(gram_pairs(F.col(f"{side}_prefix"))).alias("pair")
         return df.select(pairs, *(columns or df.columns))
 
     all_q, all_x = spelled(queries, "q"), spelled(index, "x")
@@ -260,14 +288,8 @@ def similar_pairs(
         q, x = listed(all_q, "q"), listed(all_x, "x")
     else:
         q, x = (listed(d, s, *(f"{s}_{c}" for c in ("id", "n", "low", "high"))) for d, s in ((all_q, "q"), (all_x, "x")))
-    total = F.col("q_n") + F.col("x_n")
-    shorter = F.least("q_n", "x_n")
-    least = _least_common(total, score)
-    differing = F.bit_count(F.col("q_low").bitwiseXOR(F.col("x_low"))) + F.bit_count(
-        F.col("q_high").bitwiseXOR(F.col("x_high"))
-    )
-    likely = (q["pair"] == x["pair"]) & (shorter >= least) & (differing <= total - least * 2)
-    common = F.size(F.array_intersect("q_grams", "x_grams")) >= least * 3 - total + 1
+    likely = (q["pair"] == x["pair"]) & likely_similar(score)
+    common = enough_common(score)
     if broadcast:
         shared = F.array_intersect("q_prefix", "x_prefix")
         first_shared = _pair_code(F.try_element_at(shared, F.lit(1)), F.try_element_at(shared, F.lit(2)))
@@ -290,6 +312,23 @@ def best_match(candidates: DataFrame, score: float) -> DataFrame:
     )
 
 
+def spelled_names(df: DataFrame, *columns: str) -> DataFrame:
+    """Names (first column) with sorted words, length, gram codes, letter bits and an id; stage it, so that the ids stay."""
+    ordered = df.withColumn("sorted", sort_tokens(F.col(columns[0])))
+    spelled = ordered.select(
+        *columns,
+        "sorted",
+        F.length("sorted").alias("n"),
+        F.sort_array(_codes(F.col("sorted"))).alias("codes"),
+        F.sort_array(_letters(F.col("sorted"))).alias("letters"),
+    )
+    numbered = spelled.withColumns(
+        {"codes": _numbered(F.col("codes"), N_GRAMS), "letters": _numbered(F.col("letters"), _BASE)}
+    )
+    bits = {side: _letter_bits(F.col("letters"), word) for word, side in enumerate(("low", "high"))}
+    return numbered.withColumns({**bits, "id": F.monotonically_increasing_id()}).drop("letters")
+
+
 def fuzzy_lookup(
     texts: DataFrame, index: DataFrame, threshold: float = FUZZY_THRESHOLD, levels: tuple[float, ...] = (90,)
 ) -> DataFrame:
@@ -302,24 +341,8 @@ def fuzzy_lookup(
     if not 67 <= threshold <= 100:
         raise ValueError("the gram bound needs a threshold of 67 to 100")
 
-    def prepare(df: DataFrame, *columns: str) -> DataFrame:
-        ordered = df.withColumn("sorted", sort_tokens(F.col(columns[0])))
-        spelled = ordered.select(
-            *columns,
-            "sorted",
-            F.length("sorted").alias("n"),
-            F.sort_array(_codes(F.col("sorted"))).alias("codes"),
-            F.sort_array(_letters(F.col("sorted"))).alias("letters"),
-        )
-        numbered = spelled.withColumns(
-            {"codes": _numbered(F.col("codes"), N_GRAMS), "letters": _numbered(F.col("letters"), _BASE)}
-        )
-        bits = {side: _letter_bits(F.col("letters"), word) for word, side in enumerate(("low", "high"))}
-        # staged below, so the ids stay as they are
-        return numbered.withColumns({**bits, "id": F.monotonically_increasing_id()}).drop("letters")
-
-    names = stage(prepare(index, "norm", "key", "ord"), "index-names")
-    open_texts = stage(prepare(texts, "text"), "query-names")
+    names = stage(spelled_names(index, "norm", "key", "ord"), "index-names")
+    open_texts = stage(spelled_names(texts, "text"), "query-names")
 
     # same words in another order: a plain join on the sorted words
     same = names.groupBy("sorted").agg(F.min(F.struct("ord", "key")).alias("first"))
@@ -354,9 +377,12 @@ def resolve_by_name(
     fuzzy: bool = True,
     threshold: float = FUZZY_THRESHOLD,
     key: str = "siren",
+    lookup: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The rows of ``df`` with key, confidence, method and the pass that resolved them (MATCH-02…05).
 
+    Similar names come from ``lookup``, such as that of a stored index, or from a search in ``index`` itself.
+
     Unresolved rows keep nulls. The column ``match_pass`` holds 1, 2, 3 or null.
     """
     has_alt = bool(alt_name) and alt_name in df.columns
@@ -380,7 +406,7 @@ def resolve_by_name(
     if fuzzy:
         missed = rows.where(F.coalesce("_k1", "_k2").isNull())
         asked = missed.select(F.explode(F.array("_main", "_alt")).alias("text")).where("text != ''")
-        similar = fuzzy_lookup(asked.distinct(), index, threshold)
+        similar = lookup(asked.distinct()) if lookup else fuzzy_lookup(asked.distinct(), index, threshold)
         # rounded once per matched text, not per row
         similar = similar.withColumn("confidence", score_to_confidence("score"))
         rows = _attach_match(rows, similar, "_main", "_k3", _s3="score", _c3="confidence")

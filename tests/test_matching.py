@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from goldrec.functions.text import normalize_name, sort_tokens
 from goldrec.operators import matching as M
+from goldrec.operators import nameindex
 
 
 def common_letters(a, b):
@@ -179,3 +180,73 @@ def test_one_name_in_a_third_of_the_rows(spark, index):
 def test_sorted_words(spark):
     df = spark.createDataFrame([("Plage, Été",)], "x string")
     assert df.select(sort_tokens(normalize_name(df.x))).first()[0] == "ete plage"
+
+
+# stored index
+
+
+def stored_example(spark, seed=21):
+    rng = random.Random(seed)
+    names = sorted({plain_norm(some_name(rng)) for _ in range(150)} - {""})
+    rows = [(n, f"k{i:04d}", (f"k{i:04d}", 0)) for i, n in enumerate(names)]
+    index = spark.createDataFrame(rows, "norm string, key string, ord struct<position: string, i: int>")
+    asked = sorted({plain_norm(damaged(rng, rng.choice(names))) for _ in range(80)} - {""})
+    return index, spark.createDataFrame([(t,) for t in asked], "text string"), {n: k for n, k, _ in rows}
+
+
+def found(df):
+    return sorted((r.text, round(r.score, 6), r.key) for r in df.collect())
+
+
+def test_stored_index_finds_what_a_search_finds(spark, tmp_path):
+    index, texts, names = stored_example(spark)
+    stored = nameindex.store_index(index, str(tmp_path / "index"))
+    expected = found(M.fuzzy_lookup(texts, index))
+    assert found(stored.lookup(texts)) == expected and len(expected) > 20
+    for text, score, key in expected:
+        best = max(plain_score(text, n) for n in names)
+        assert score == pytest.approx(best, abs=1e-5) and key == min(k for n, k in names.items() if plain_score(text, n) >= best - 1e-9)
+    assert found(stored.lookup(texts.limit(0))) == []
+
+
+def test_stored_index_is_opened_again(spark, tmp_path):
+    index, texts, _ = stored_example(spark, 22)
+    expected = found(nameindex.store_index(index, str(tmp_path / "index")).lookup(texts))
+    again = nameindex.open_index(spark, str(tmp_path / "index"))
+    assert again.levels == [90, 80] and found(again.lookup(texts)) == expected
+
+
+def test_lookup_does_not_move_the_index(spark, tmp_path, monkeypatch):
+    index, texts, _ = stored_example(spark, 23)
+    monkeypatch.setattr(nameindex, "BUCKET_BYTES", 4096)
+    stored = nameindex.store_index(index, str(tmp_path / "index"))
+    assert stored.buckets["pairs_80"] > 4
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        queries = M.spelled_names(texts, "text")
+        plan = stored.similar(queries, 80)._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert found(stored.lookup(texts)) == found(M.fuzzy_lookup(texts, index))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for at, line in enumerate(plan):
+        if "FileScan" in line and "Bucketed: true" in line:
+            depth = line.index("FileScan")
+            above = []
+            for earlier in reversed(plan[:at]):
+                here = len(earlier) - len(earlier.lstrip(" :+-"))
+                if here < depth:
+                    above.append(earlier.strip(" :+-"))
+                    depth = here
+                if "SortMergeJoin" in earlier:
+                    break
+            assert not any(a.startswith("Exchange") for a in above), above
+    assert sum("Bucketed: true" in line for line in plan) == 2
+
+
+def test_empty_index(spark, tmp_path):
+    index, texts, _ = stored_example(spark)
+    stored = nameindex.store_index(index.limit(0), str(tmp_path / "index"))
+    assert found(stored.lookup(texts)) == []
+    with pytest.raises(ValueError):
+        nameindex.store_index(index, levels=(50,))
