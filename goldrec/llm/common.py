@@ -91,15 +91,55 @@ def as_int64(column: pa.Array) -> np.ndarray:
     return np.asarray(pc.fill_null(column.cast(pa.int64()), 0))
 
 
+#: Edges that a task contracts at once.
+CONTRACTED_EDGES = 1 << 18
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, smallest node of its component) that connect what the edges (a, b) connect."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+        if (low == high).all():
+            break
+        np.minimum.at(label, high, low)  # hook the larger root to the smaller one, then let all find their roots
+        while (label[label] != label).any():
+            label = label[label]
+    tied = label != np.arange(len(nodes))
+    return nodes[tied], nodes[label[tied]]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (u, v): forests of the edges of a task, so many at once."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(tuple(np.asarray(c) for c in batch.columns[:2]))
+        size += batch.num_rows
+        if size >= 2 * CONTRACTED_EDGES:
+            held = [forest(*(np.concatenate(c) for c in zip(*held, strict=True)))]
+            size = len(held[0][0])
+            if size >= CONTRACTED_EDGES:
+                yield pa.record_batch(list(held[0]), ["u", "v"])
+                held, size = [], 0
+    if size:
+        yield pa.record_batch(list(forest(*(np.concatenate(c) for c in zip(*held, strict=True)))), ["u", "v"])
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node on an edge (a, b) of longs; label is the smallest node that can be reached.
 
-    Large-star and small-star steps alternate until nothing changes. Each step is a minimum per node,
-    which is combined before the shuffle, and an equi-join. Every round is written to the shared folder.
+    Edges are first contracted in the tasks that make them, then in blocks of CONTRACTED_EDGES: each block becomes a forest of
+    depth one. One block is the answer. More are joined by large-star and small-star steps, which alternate until nothing
+    changes. Each step is a minimum per node, which is combined before the shuffle, and an equi-join. Every round is
+    written to the shared folder.
     """
-    e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    e = stage(edges.where("a <> b").select("a", "b").mapInArrow(_contract, "u long, v long"), "edges")
+    blocks = -(-e.count() // CONTRACTED_EDGES)
+    e = stage(e.coalesce(max(1, blocks)).mapInArrow(_contract, "u long, v long"), "edges")
     seen = None
-    while True:
+    while blocks > 1:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -14,8 +14,8 @@
   pivot q if d(x, q) - d(x, home) <= 2 EPS, which holds for every x within EPS of a text at home there. Regions
   are joined in the same way until they are small, then pair by pair. A pair belongs to the region in which its later
   member is at home, so every link is counted once. Without counts, texts that are already connected are skipped.
-  A cell beyond ``max_elements`` is split this way by Spark first; one that does not shrink is dealt into
-  blocks, each pair of which is a cell. No text, region or link is dropped.
+  A cell beyond ``max_elements`` is split this way by Spark first; one that does not shrink, and one whose members and shingles
+  make too much work for a task, is dealt into blocks, each pair of which is a cell. No text, region or link is dropped.
 
 Equal sets are one node from the start: a node is a 64-bit fingerprint of the set, so copies meet inside tasks.
 A link of two nodes counts as many links of documents as there are pairs of their copies.
@@ -45,6 +45,8 @@ SIZE_BITS, SIZE_STEPS = 12, 8
 SLOT_BITS, PART_BITS = 25, 6
 #: Shingles a cell may hold to be joined in one task.
 MAX_ELEMENTS = 4_000_000
+#: Members times shingles of a cell to be joined in one task.
+MAX_WORK = 50_000_000
 PIVOTS = 8
 
 
@@ -58,10 +60,12 @@ def set_nodes(bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and node of each text (the last column), behind the other columns."""
     for batch in batches:
-        for low, high, data, off in slices(batch.column(1)):
+        *others, text = batch.columns
+        for low, high, data, off in slices(text):
             bounds, hashes = words.shingle_sets(data, off)
-            yield pa.record_batch([batch.column(0).slice(low, high - low), np.diff(bounds), set_nodes(bounds, hashes)], ["doc_id", "n", "node"])
+            yield pa.record_batch([*(c.slice(low, high - low) for c in others), np.diff(bounds), set_nodes(bounds, hashes)], [*batch.schema.names[:-1], "n", "node"])
 
 
 def _encode(slots: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
@@ -439,30 +443,40 @@ def _voronoi(pivots, bit: int):
     return run
 
 
-def _split(sets: DataFrame, max_elements: int, levels: int = 4) -> tuple[DataFrame, DataFrame | None]:
-    """Sets in cells that one task can hold, and the links found on the way."""
+def _deal(cells: DataFrame, blocks) -> DataFrame:
+    """Each pair of blocks of a cell as a cell of its own; ``blocks`` is their number."""
+    own = F.pmod(F.xxhash64("node"), blocks)
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.struct(F.least(j, own).alias("x"), F.greatest(j, own).alias("y")))
+    # of two blocks the pairs across count, as those inside have a cell of their own
+    low, high = (~(1 << x) for x in BLOCK_BITS)
+    side = F.when(F.col("pair.x") == F.col("pair.y"), F.lit(FULL)).when(F.col("pair.x") == own, F.lit(low)).otherwise(F.lit(high))
+    dealt = cells.select("*", F.explode(F.array_distinct(pairs)).alias("pair")).withColumn("mask", F.col("mask").bitwiseAND(side.cast("long")))
+    return dealt.withColumn("cell", F.xxhash64("cell", "pair")).select(*SET_COLUMNS)
+
+
+def _split(sets: DataFrame, max_elements: int, max_work: int, levels: int = 4) -> tuple[DataFrame, DataFrame | None]:
+    """Sets in cells that one task can hold and join, and the links found on the way."""
     spark = sets.sparkSession
     done, links = [], []
+    too_large, too_much = F.col("elements") > max_elements, F.col("elements") * F.col("members") > max_work
     for level in range(levels + 1):
-        weight = stage(sets.groupBy("cell").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("members")), "weights")
-        large = weight.where((F.col("elements") > max_elements) & (F.col("members") > 2))
-        how_many = large.count()
-        if how_many == 0:
+        weight = sets.groupBy("cell").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("members"))
+        weight = stage(weight.where((F.col("members") > 2) & (too_large | too_much)), "weights")
+        how_many, busy = weight.agg(F.count_if(too_large), F.count_if(~too_large)).first()
+        deal_all = level == levels or how_many > 4096
+        if busy or deal_all and how_many:
+            # blocks of half a task, by what they hold and by the work of a pair of them
+            of = weight if deal_all else weight.where(~too_large)
+            known = F.broadcast(of) if (busy + how_many) * 24 <= BROADCAST_LIMIT else of
+            parts = F.greatest(F.ceil(2 * F.col("elements") / max_elements), F.ceil(2 * F.sqrt(F.col("elements") * F.col("members") / max_work))) + 1
+            done.append(_deal(sets.join(known, "cell"), parts))
+            sets = sets.join(known, "cell", "left_anti")
+        if not how_many or deal_all:
             return _union([*done, sets]), _union(links) if links else None
+        large = weight.where(too_large)
         large = F.broadcast(large) if how_many * 24 <= BROADCAST_LIMIT else large
         done.append(sets.join(large, "cell", "left_anti"))
         big = sets.join(large, "cell")
-        if level == levels or how_many > 4096:
-            # blocks of half a task; each pair of blocks of a cell becomes a cell
-            blocks = F.ceil(2 * F.col("elements") / max_elements) + 1
-            own = F.pmod(F.xxhash64("node"), blocks)
-            pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(j, own).alias("x"), F.greatest(j, own).alias("y")))
-            # of two blocks the pairs across count, as those inside have a cell of their own
-            low, high = (~(1 << x) for x in BLOCK_BITS)
-            side = F.when(F.col("pair.x") == F.col("pair.y"), F.lit(FULL)).when(F.col("pair.x") == own, F.lit(low)).otherwise(F.lit(high))
-            dealt = big.select("*", F.explode(F.array_distinct(pairs)).alias("pair")).withColumn("mask", F.col("mask").bitwiseAND(side.cast("long")))
-            done.append(dealt.withColumn("cell", F.xxhash64("cell", "pair")).select(*SET_COLUMNS))
-            return _union(done), _union(links) if links else None
         order = W.partitionBy("cell").orderBy(F.xxhash64("node", F.lit(level)), "node")
         chosen = big.select("cell", "node", "shingles").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
         pivots: dict[int, list] = {}
@@ -481,27 +495,41 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def jaccard_components(docs: DataFrame, max_elements: int = MAX_ELEMENTS) -> DataFrame:
+def jaccard_components(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: int = MAX_WORK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document of (doc_id, text), without counting links.
 
     Null and empty texts, and texts without words, have no shingles and are alone. Repeated rows give a row
     each and count as copies. A null doc_id gives a null component and never stands for one. Other columns are ignored.
     """
-    return _joined(docs, max_elements, False).drop("n_links")
+    return _joined(docs, max_elements, max_work, False).drop("n_links")
 
 
-def jaccard_links(docs: DataFrame, max_elements: int = MAX_ELEMENTS) -> DataFrame:
+def jaccard_links(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: int = MAX_WORK) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links): as jaccard_components, with the number of other rows each row links with.
 
     Copies link with each other, whatever their ids. A text without shingles has no link.
     """
-    return _joined(docs, max_elements, True)
+    return _joined(docs, max_elements, max_work, True)
+
+
+def linked_rows(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: int = MAX_WORK) -> DataFrame:
+    """(doc_id, text_hash, label) of the rows of (doc_id, text) that are linked with another row; equal labels mean one group.
+
+    Rows without id are left out. Texts without shingles are linked with nothing but repeats of their row. Repeated rows give
+    a row each. Other columns are ignored.
+    """
+    sizes, known = _found(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), max_elements, max_work, False)
+    named = sizes.where("doc_id IS NOT NULL")
+    linked = named.join(known, "node").select("doc_id", "text_hash", F.coalesce("label", "node").alias("label"))
+    return linked.union(named.where("n = 0").select("doc_id", "text_hash", F.xxhash64("doc_id", "text_hash")))
 
 
-def _joined(docs: DataFrame, max_elements: int, count: bool) -> DataFrame:
+def _found(docs: DataFrame, max_elements: int, max_work: int, count: bool) -> tuple[DataFrame, DataFrame]:
+    """Size and node of every row, and what is known of a node besides the set: only of nodes with copies or links."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    sizes = stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sizes, "doc_id long, n long, node long"), "sizes")
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    kinds = ", ".join(f"{c} long" for c in [*docs.columns[:-1], "n", "node"])
+    sizes = stage(docs.mapInArrow(_sizes, kinds), "sizes")
     levels = spark.sparkContext.broadcast(shingle_levels(docs))
     cells = stage(candidate_cells(docs, levels), "cells")
     copies = stage(sizes.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies")), "copies")
@@ -510,7 +538,7 @@ def _joined(docs: DataFrame, max_elements: int, count: bool) -> DataFrame:
         found = cells.select("node", "label", counted)
     else:
         sets = stage(cell_sets(docs, cells.join(copies, "node")), "sets")
-        sets, links = _split(sets, max_elements)
+        sets, links = _split(sets, max_elements, max_work)
         joined = sets.repartition("cell").sortWithinPartitions("cell").mapInArrow(_join_cells(count), "a long, b long, links long")
         joined = stage(joined, "joined")
         edges = joined.select("a", "b")
@@ -519,8 +547,11 @@ def _joined(docs: DataFrame, max_elements: int, count: bool) -> DataFrame:
             found = found.join(joined.groupBy(F.col("b").alias("node")).agg(F.sum("links").alias("links")), "node", "left")
         else:
             found = found.select("node", "label", counted)
-    # what is known of a node besides the set itself: only of nodes with copies or links
-    known = stage(copies.where("copies > 1").join(found, "node", "full"), "found")
+    return sizes, stage(copies.where("copies > 1").join(found, "node", "full"), "found")
+
+
+def _joined(docs: DataFrame, max_elements: int, max_work: int, count: bool) -> DataFrame:
+    sizes, known = _found(docs.select("doc_id", "text"), max_elements, max_work, count)
     labelled = sizes.join(known, "node", "left").select(
         "doc_id", "n", F.coalesce("label", "node").alias("label"), (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links")
     )

@@ -57,3 +57,23 @@ def test_texts_that_share_an_id_are_told_apart(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
     wanted = [(1, a), (2, b), (3, c), (3, prose(4)), (None, a), (6, None)]
     assert sorted(map(tuple, kept), key=str) == sorted(wanted, key=str)
+
+
+def test_columns_of_any_name_and_empty_tables(spark, folder):
+    a = prose(1)
+    rows = [(1, a, "K", True, 5, "L"), (2, a + " end", "x", None, 6, None), (3, prose(2), "y", False, 7, "z"), (3, prose(2), "y", False, 7, "z")]
+    names = "_key string, _repeated boolean, id long, label string"
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {names}")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+    more = spark.createDataFrame([(1, a, "en", "s", 1, "S", True, 2)], "doc_id long, text string, lang string, source string, n_chars long, _spans string, _live boolean, row long")
+    for docs in (more, more.limit(0)):
+        for name, function in corpus_pipeline.STAGES[:-1]:
+            out = function(spark, docs, folder[0])
+            assert out.columns == docs.columns
+            if docs is more and name != "quality":
+                assert [tuple(r) for r in out.collect()] == [tuple(r) for r in more.collect()]
+            elif docs is not more:
+                assert out.collect() == []
+        digests = corpus_pipeline.STAGES[-1][1](spark, docs, folder[0]).collect()
+        assert len(digests) == (docs is more)
