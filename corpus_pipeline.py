@@ -23,24 +23,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document with the smallest id of each group of near duplicates; a row without id is kept.
 
     A document is an id with a text: repeats of one row are one document, of which one stays, and texts that share an id
-    are told apart, so that only one with a kept partner goes.
+    are told apart, so that only one with a kept partner goes. Columns of any name are carried along.
     """
-    keyed = docs.withColumn("_key", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
-    found = jaccard_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    groups = stage(found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id"), "groups")
-    shared = stage(groups.where("_key <> component_id").select("component_id").distinct(), "shared")
-    members = join_counted(groups, shared, "component_id", "left_semi", 16).distinct()
-    ids = keyed.where("_key IS NOT NULL").select("_key", "doc_id").distinct()
-    members = stage(ids.join(members, "_key"), "members")
-    first = stage(members.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key"))["_key"].alias("first")), "first")
-    others = stage(join_counted(members, first, "component_id", "inner", 16).where("_key <> first").select("_key").distinct(), "others")
-    repeated = stage(groups.groupBy("_key").count().where("count > 1").select("_key", F.lit(True).alias("_repeated")), "repeated")
-    kept = join_counted(keyed, others, "_key", "left_anti", 16)
+    linked = jaccard_join.linked_rows(docs.select("doc_id", "text"))
+    counted = linked.groupBy("label", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    first = counted.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    stays = F.struct("doc_id", "text_hash") == F.col("first")
+    decided = counted.join(first, "label").select(F.col("doc_id").alias("id"), "text_hash", stays.alias("stays"), "rows")
+    decided = stage(decided.where("NOT stays OR rows > 1"), "decided")
+
+    names = docs.columns
+    rows = docs.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"))
+    marked = join_counted(rows, decided, ["id", "text_hash"], "left", 40)
+    original = [F.col(f"row.`{c}`").alias(c) for c in names]
+    kept = marked.where("stays IS NULL").select(*original)
+    repeated = decided.where("stays")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    marked = join_counted(kept, repeated, "_key", "left", 16)
-    single = marked.where("_repeated IS NULL").select(*docs.columns)
-    return single.union(marked.where("_repeated").dropDuplicates(["_key"]).select(*docs.columns))
+        return kept
+    once = join_counted(rows, repeated, ["id", "text_hash"], "inner", 40)
+    return kept.union(once.groupBy("id", "text_hash").agg(F.first("row").alias("row")).select(*original))
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
