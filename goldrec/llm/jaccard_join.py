@@ -45,8 +45,8 @@ SIZE_BITS, SIZE_STEPS = 12, 8
 SLOT_BITS, PART_BITS = 25, 6
 #: Shingles a cell may hold to be joined in one task.
 MAX_ELEMENTS = 4_000_000
-#: Members times shingles of a cell to be joined in one task.
-MAX_WORK = 50_000_000
+#: Members times shingles of a cell to be joined in one task, with links counted and without.
+MAX_WORK, MAX_SKIPPING_WORK = 200_000_000, 1_600_000_000
 PIVOTS = 8
 
 
@@ -268,7 +268,9 @@ class Region:
         for i, x in enumerate(members[:-1]):
             rest = np.arange(i + 1, len(members))
             n = self.size[members[rest]]
-            wanted = self.group[members[rest]] != self.group[x] if self.copies is None else (masks[rest] | masks[i]) == FULL
+            wanted = (masks[rest] | masks[i]) == FULL
+            if self.copies is None:
+                wanted &= self.group[members[rest]] != self.group[x]
             rest = rest[wanted & (PART * np.minimum(n, self.size[x]) >= SHARE * np.maximum(n, self.size[x]))]
             if d is not None and len(rest):
                 rest = rest[(np.abs(d[:, rest] - d[:, i : i + 1]) <= EPS + 1e-9).all(0)]
@@ -495,7 +497,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def jaccard_components(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: int = MAX_WORK) -> DataFrame:
+def jaccard_components(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: int = MAX_SKIPPING_WORK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document of (doc_id, text), without counting links.
 
     Null and empty texts, and texts without words, have no shingles and are alone. Repeated rows give a row
@@ -512,7 +514,7 @@ def jaccard_links(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: i
     return _joined(docs, max_elements, max_work, True)
 
 
-def linked_rows(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: int = MAX_WORK) -> DataFrame:
+def linked_rows(docs: DataFrame, max_elements: int = MAX_ELEMENTS, max_work: int = MAX_SKIPPING_WORK) -> DataFrame:
     """(doc_id, text_hash, label) of the rows of (doc_id, text) that are linked with another row; equal labels mean one group.
 
     Rows without id are left out. Texts without shingles are linked with nothing but repeats of their row. Repeated rows give
