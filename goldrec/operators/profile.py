@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldrec.functions.text import is_blank, list_size
 
@@ -111,25 +112,16 @@ def _number(column: str) -> Column:
 
 
 def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles; NaN counts as missing (AGG-14)."""
-    known = df.select(*[F.when(_number(c).isNotNull(), F.col(c)).alias(c) for c in columns])
-    moments = known.agg(
-        *[
-            F.struct(
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(c)
-            for c in columns
-        ]
-    ).unpivot([], columns, "column", "m")
-    quartiles = exact_quantiles(known, columns, [0.25, 0.5, 0.75])
+    """Count, mean, sample deviation, extremes and exact quartiles; NaN counts as missing (AGG-14).
+
+    Two scans: one aggregate takes the moments and the quantile sketches, the other makes the quartiles exact.
+    """
+    survey, moments = _survey(df, columns, QUARTILES, with_moments=True)
+    quartiles = _settle_quantiles(df, columns, QUARTILES, survey)
     wide = quartiles.groupBy("column").agg(
         *[
             F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
-            for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
+            for p, name in zip(QUARTILES, ("q1", "median", "q3"), strict=True)
         ]
     )
     return moments.join(wide, "column", "left").select(
@@ -139,75 +131,104 @@ def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
 
 # -- exact quantiles ----------------------------------------------------------------
 
+QUARTILES = [0.25, 0.5, 0.75]
+#: A sketch of n values errs by n / SKETCH_ACCURACY places at most; sketches of tasks merge into one of the same error.
+SKETCH_ACCURACY = 100_000
+#: Distances from a probability at which a sketch is asked: which of them encloses the answer depends on the row count.
+_MARGINS = [m for k in range(10) if (m := 2.0 / SKETCH_ACCURACY * 4**k) < 1] + [1.0]
+
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, without sorting the table in one task.
-
-    First a quantile sketch gives, for every column and probability, two values
-    that are certain to enclose the answer. Then one pass counts the rows below
-    the enclosure and keeps only the distinct values inside it, with their
-    counts; the answer is read from the running count over these. The sketch
-    grows with the row count so that an enclosure holds about a million rows at
-    most, and repeated values count as one. NaN counts as missing. A target
+    """Exact quantiles with linear interpolation, in two scans and without sorting the table in one task.
+
+    The first scan builds a mergeable quantile sketch per column, whose rank error is bounded, and so two values
+    that are certain to enclose each answer. The second counts the rows below the enclosures and keeps only the
+    distinct values inside them, with their counts; the answer is read from the running count over these. An
+    enclosure holds about a 25 000th of the rows, and repeated values count as one. NaN counts as missing. A target
     that the enclosure misses fails the query instead of giving null.
     """
+    survey, _ = _survey(df, columns, probs)
+    return _settle_quantiles(df, columns, probs, survey)
+
+
+def _survey(
+    df: DataFrame, columns: list[str], probs: list[float], with_moments: bool = False
+) -> tuple[dict[str, tuple[int, list[float] | None]], DataFrame | None]:
+    """Values and sketch answers of every column, and its moments, from one aggregate."""
+    asked = [q for p in probs for m in _MARGINS for q in (max(p - m, 0.0), min(p + m, 1.0))]
+    known = df.select(*[F.when(_number(c).isNotNull(), F.col(c)).alias(c) for c in columns])
+    facts = []
+    for c in columns:
+        number = F.col(c).cast("double")
+        moments = [
+            F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(number).alias("min"), F.max(number).alias("max"),
+        ]
+        parts = [F.count(c).alias("count"), *moments * with_moments, F.percentile_approx(number, asked, SKETCH_ACCURACY).alias("asked")]
+        facts.append(F.struct(*parts).alias(c))
+    summary = known.agg(*facts)
+    row = summary.first()
+    survey = {c: (row[c]["count"], row[c]["asked"]) for c in columns}
+    if not with_moments:
+        return survey, None
+    kind = T.StructType([f for f in summary.schema[columns[0]].dataType.fields if f.name != "asked"])
+    schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("m", kind)])
+    return survey, df.sparkSession.createDataFrame([(c, tuple(row[c][f.name] for f in kind)) for c in columns], schema)
+
+
+def _settle_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], survey: dict[str, tuple[int, list[float] | None]]
+) -> DataFrame:
+    """Exact quantiles from one scan, given what the sketches say."""
     spark = df.sparkSession
-    numbers = df.select(*[_number(c).alias(c) for c in columns])
-    sizes = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
-    accuracy = int(min(max(10_000, max(sizes, default=0) // 250_000), 10_000_000))
-
-    def around(n: int) -> list[float]:
-        # the sketch may be off by n / accuracy places; the answer lies between two neighbours
-        margin = 2.0 / accuracy + 2.0 / max(n, 1)
-        return [q for p in probs for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
-
-    bounds = numbers.agg(
-        *[F.percentile_approx(c, around(sizes[i]), accuracy).alias(c) for i, c in enumerate(columns)]
-    ).first()
-    targets = []
-    for i, c in enumerate(columns):
-        if not sizes[i]:
+    targets: dict[str, list[tuple]] = {}
+    for c in columns:
+        n, answers = survey[c]
+        if not n:
             continue
-        for j, p in enumerate(probs):
-            position = (sizes[i] - 1) * p
-            low = int(position)
-            targets.append((c, p, low, position - low, bounds[i][2 * j], bounds[i][2 * j + 1]))
+        own = []
+        for i, p in enumerate(probs):
+            # the sketch may be off by n / SKETCH_ACCURACY places; the answer lies between two neighbours
+            needed = 1.0 / SKETCH_ACCURACY + 2.0 / n
+            at = next((k for k, m in enumerate(_MARGINS) if m >= needed), len(_MARGINS) - 1)
+            low, high = answers[2 * (i * len(_MARGINS) + at) :][:2]
+            position = (n - 1) * p
+            own.append((low, high, p, int(position), position - int(position)))
+        targets[c] = sorted(own)
     if not targets:
         return spark.createDataFrame([], "`column` string, prob double, value double")
 
-    below = numbers.agg(
-        *[F.count_if(F.col(c) < lo).alias(str(n)) for n, (c, _, _, _, lo, _) in enumerate(targets)]
-    ).unpivot([], [str(n) for n in range(len(targets))], "target", "below")
-    inside = [
-        F.when(
-            F.col(c).between(lo, hi), F.struct(F.lit(str(n)).alias("target"), F.col(c).alias("v"))
-        )
-        for n, (c, _, _, _, lo, hi) in enumerate(targets)
-    ]
-    enclosed = reduce(
-        Column.__or__, [F.col(c).between(lo, hi) for c, _, _, _, lo, hi in targets], F.lit(False)
-    )
-    kept = (
-        numbers.where(enclosed)
-        .select(F.explode(F.array_compact(F.array(*inside))).alias("hit"))
-        .groupBy("hit.target", "hit.v")
+    def seen(c: str) -> Column:
+        """How many enclosures begin above a value, and the value itself if it lies in one."""
+        v = _number(c)
+        above = reduce(Column.__add__, [(v < low).cast("int") for low, *_ in targets[c]])
+        inside = reduce(Column.__or__, [v.between(low, high) for low, high, *_ in targets[c]])
+        return F.when(v.isNotNull(), F.struct(F.lit(c).alias("column"), above.alias("above"), F.when(inside, v).alias("v")))
+
+    counts = (
+        df.select(F.explode(F.array_compact(F.array(*map(seen, targets)))).alias("hit"))
+        .groupBy("hit.column", "hit.above", "hit.v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = W.partitionBy("target").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # enclosures are sorted, so the values below the i-th of t are those with at least t - i enclosures above them
     facts = spark.createDataFrame(
-        [(str(n), c, p, rank, f) for n, (c, p, rank, f, _, _) in enumerate(targets)],
-        "target string, `column` string, prob double, rank long, fraction double",
-    )
-    ranked = (
-        kept.withColumn("upto", F.sum("n").over(running))
-        .join(F.broadcast(below.join(F.broadcast(facts), "target")), "target")
-        .withColumn("last", F.col("below") + F.col("upto") - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
+        [
+            (c, len(own) - i, low, high, p, rank, fraction)
+            for c, own in targets.items()
+            for i, (low, high, p, rank, fraction) in enumerate(own)
+        ],
+        "`column` string, least_above int, low double, high double, prob double, rank long, fraction double",
     )
+    per_target = counts.join(F.broadcast(facts), "column")
+    is_below = F.col("above") >= F.col("least_above")
+    wanted = per_target.where(is_below | F.col("v").between(F.col("low"), F.col("high")))
+    key = ["column", "prob", "rank", "fraction"]
+    # one row for all values below, before those inside
+    merged = wanted.groupBy(*key, F.when(~is_below, F.col("v")).alias("v")).agg(F.sum("n").alias("n"))
+    running = W.partitionBy("column", "prob").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = merged.withColumn("last", F.sum("n").over(running) - 1).withColumn("first", F.col("last") - F.col("n") + 1)
     at = F.when(F.col("rank").between(F.col("first"), F.col("last")), F.col("v"))
     after = F.when((F.col("rank") + 1).between(F.col("first"), F.col("last")), F.col("v"))
-    ends = ranked.groupBy("target").agg(F.max(at).alias("a"), F.max(after).alias("b"))
-    found = F.broadcast(facts).join(ends, "target", "left")
+    found = ranked.groupBy(*key).agg(F.max(at).alias("a"), F.max(after).alias("b"))
     step = F.when(F.col("fraction") > 0, (F.col("b") - F.col("a")) * F.col("fraction")).otherwise(0.0)
     missed = F.raise_error(F.lit("a quantile lies outside its enclosure")).cast("double")
     return found.select("column", "prob", F.coalesce(F.col("a") + step, missed).alias("value"))

@@ -131,3 +131,36 @@ def test_a_value_named_like_the_margin_is_refused(spark):
     df = spark.createDataFrame([("TOTAL", "x"), ("a", "x")], "k string, w string")
     with pytest.raises(Exception, match="holds the value TOTAL"):
         P.cross_table(df, "k", "w").collect()
+
+
+def test_description_scans_twice(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(rng.uniform(-1, 1), rng.randrange(5), None if i % 3 else float("nan")) for i in range(3000)]
+    spark.createDataFrame(rows, "a double, b int, c double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    jobs = []
+    original = type(df).first
+
+    def first(self):
+        jobs.append(self._jdf.queryExecution().executedPlan().toString().count("FileScan"))
+        return original(self)
+
+    type(df).first = first
+    try:
+        described = P.describe_numbers(df, ["a"])
+    finally:
+        type(df).first = original
+    plan = described._jdf.queryExecution().executedPlan().toString()
+    assert jobs == [1] and plan.count("FileScan") == 1
+    got = described.collect()[0]
+    values = [r[0] for r in rows]
+    assert [got.q1, got.median, got.q3] == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.75])))
+
+
+def test_quantiles_of_large_and_repeated_values(spark):
+    """More rows than the sketch keeps apart, half of them equal."""
+    df = spark.range(400_000).select((F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.hash("id") % 100_003)).cast("double").alias("v"))
+    values = np.array([r.v for r in df.collect()])
+    probs = [0.0, 0.001, 0.2499, 0.5, 0.7501, 0.99999, 1.0]
+    got = {r.prob: r.value for r in P.exact_quantiles(df.repartition(7), ["v"], probs).collect()}
+    assert [got[p] for p in probs] == pytest.approx(list(np.quantile(values, probs)))
