@@ -21,6 +21,8 @@ from goldrec.functions.codes import lenient_timestamp
 from goldrec.functions.text import blank_to_null
 from goldrec.operators import consolidate, enrich, joins, quality
 from goldrec.plans import golden, review
+from goldrec.session import scratch_path
+from goldrec.sources import readers, writers
 
 _WIDE = [f"{a}__{o}" for a in vocab.MERGEABLE_ATTRIBUTES for o in vocab.ORIGINS]
 _RECORD = [
@@ -29,6 +31,9 @@ _RECORD = [
 ]
 _DERIVED = ["famille_ess", "naf_numerique", "tags_numerique"]
 _TARGETS = [t for _, t, _ in vocab.ENRICH_FIELDS] + ["siret_siege"]
+_SOCIAL = "economieSocialeSolidaireUniteLegale"
+#: Columns of the registry subset, and what breaks ties between rows of one date.
+_SUBSET = ["nicSiegeUniteLegale", NAF], "nicSiegeUniteLegale"
 _TRACES = [c for t in _TARGETS for c in enrich.trace_columns(t)]
 
 
@@ -201,15 +206,20 @@ def _(spark, sf):
 )
 def _(spark, sf):
     wanted = roles.candidate_tables(spark, sf)["ess_x_naf"]
-    registry = roles.periods(spark, sf)
-    return enrich.registry_for_keys(
-        registry,
-        wanted,
-        "siren",
-        "dateDebut",
-        ["nicSiegeUniteLegale", NAF],
-        "nicSiegeUniteLegale",
-    )
+    return enrich.registry_for_keys(roles.periods(spark, sf), wanted, "siren", "dateDebut", *_SUBSET)
+
+
+@query(
+    "enr03_key_filter",
+    f"""WITH {WITH_ROLES} SELECT siren, "dateDebut", nicSiegeUniteLegale, {NAF} FROM (
+      SELECT *, row_number() OVER (PARTITION BY siren ORDER BY try_cast("dateDebut" AS TIMESTAMP) DESC NULLS LAST,
+      nicSiegeUniteLegale) AS rn FROM periods
+      WHERE siren IN (SELECT siren FROM registry WHERE {_SOCIAL} = 'O')) WHERE rn = 1""",
+)
+def _(spark, sf):
+    """The keys of all flagged organisations, taken as too many to broadcast: a filter of a few bits per key drops other rows."""
+    flagged = roles.registry(spark, sf).where(F.col(_SOCIAL) == "O").select("siren")
+    return enrich.registry_for_keys(roles.periods(spark, sf), flagged, "siren", "dateDebut", *_SUBSET, broadcast=False)
 
 
 # -- quality -------------------------------------------------------------------------
@@ -349,12 +359,17 @@ def _(spark, sf):
     SELECT r.siren, r.nomUniteLegale, r.siren IN (SELECT siren FROM reviewed WHERE siren <> '') AS tag_ngi FROM registry r""",
 )
 def _(spark, sf):
-    """The manual entry is played by the number in the title of every https project."""
-    table_for_review = review.to_review(roles.role(spark, sf, "pages", roles.PROJECTS))
+    """Through the files: the list with its preamble, the ';' table for review, the same table with keys entered, the tag.
+
+    The manual entry is played by the number in the title of every https project.
+    """
+    raw, table_for_review, entered = (scratch_path(spark, name) for name in ("projects", "review", "reviewed"))
+    writers.write_with_preamble(roles.role(spark, sf, "pages", roles.PROJECTS).select(*review.LIST_COLUMNS), raw)
+    review.export_review(spark, raw, table_for_review)
     number = F.lpad(F.replace("title", F.lit("Project "), F.lit("")), 9, "0")
-    entered = F.when(F.col("website").startswith("https"), number).otherwise(F.col("siren"))
-    reviewed = table_for_review.withColumn("siren", entered)
-    return review.from_review(roles.registry(spark, sf).select("siren", "nomUniteLegale"), reviewed)
+    key = F.when(F.col("website").startswith("https"), number).otherwise(F.col("siren"))
+    writers.write_delimited(readers.read_delimited(spark, table_for_review, sep=";").withColumn("siren", key), entered, ";")
+    return review.import_review(spark, entered, roles.registry(spark, sf).select("siren", "nomUniteLegale"))
 
 
 @query(

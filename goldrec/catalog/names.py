@@ -11,7 +11,7 @@ from goldrec.catalog.registry import query
 from goldrec.catalog.roles import WITH_ROLES, sql_norm
 from goldrec.catalog.rows import truthy_sql
 from goldrec.functions.text import normalize_name
-from goldrec.operators import matching
+from goldrec.operators import matching, nameindex
 from goldrec.plans import candidates, golden
 
 _INDEX = f"""{WITH_ROLES},
@@ -110,6 +110,18 @@ def _(spark, sf):
     return resolved.select("ID_UNIQUE", "NOM", "NOM_STRC_PORT", "siren", "confiance_jointure", "match_pass")
 
 
+@query(
+    "match04_stored_index",
+    f"""WITH RECURSIVE {_FUZZY} SELECT "ID_UNIQUE", "NOM", "NOM_STRC_PORT", siren, confiance_jointure, match_pass FROM matched""",
+)
+def _(spark, sf):
+    """The index is stored once, bucketed by gram pair, and looked up where it lies."""
+    index = _index(spark, sf)
+    rows = _identity(spark, sf).select("ID_UNIQUE", "NOM", "NOM_STRC_PORT")
+    resolved = matching.resolve_by_name(rows, index, lookup=nameindex.store_index(index).lookup)
+    return resolved.select("ID_UNIQUE", "NOM", "NOM_STRC_PORT", "siren", "confiance_jointure", "match_pass")
+
+
 @query(
     "match05_cascade",
     f"""WITH RECURSIVE {_FUZZY} SELECT "ID_UNIQUE", siren, confiance_jointure,

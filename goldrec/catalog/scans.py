@@ -48,6 +48,17 @@ def _(spark, sf):
     return readers.read_delimited(spark, path, ["ID_UNIQUE", "NOM", "NOM_STRC_PORT", "CODPOST"], ";")
 
 
+@query(
+    "src03_line_breaks",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(replace(text, ' the ', chr(10) || '\"the\"' || chr(13))) AS digest FROM documents",
+)
+def _(spark, sf):
+    """One file whose values hold line breaks and quotes, read block by block."""
+    broken = F.replace("text", F.lit(" the "), F.lit('\n"the"\r'))
+    path = _as_text_file(table(spark, sf, "documents").select("doc_id", broken.alias("text")).coalesce(1), ";")
+    return readers.read_delimited(spark, path, ["doc_id", "text"], ";").select("doc_id", F.md5("text").alias("digest"))
+
+
 _LOOKALIKES = [["sep=abc", "x", None, None, "France"], ["title", "website", "Category", "Project", "Country"]]
 
 
@@ -61,11 +72,8 @@ def _(spark, sf):
     names = ["title", "website", "Category", "Project", "Country"]
     projects = roles.role(spark, sf, "pages", roles.PROJECTS).select(*names)
     rows = projects.unionAll(spark.createDataFrame(_LOOKALIKES, ", ".join(f"{n} string" for n in names)))
-    line = F.to_csv(F.struct("*"), {"escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
-    opens_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
-    head = F.lit("sep=,\n" + ",".join(names) + "\n")
     path = scratch_path(spark, "preamble")
-    rows.select(F.when(opens_file, F.concat(head, line)).otherwise(line).alias("value")).write.text(path)
+    writers.write_with_preamble(rows, path)
     return readers.read_with_preamble(spark, path, names)
 
 

@@ -28,6 +28,30 @@ ASCII_SPELLING = {
 _DECOMPOSED_RANGES = [(0xAA, 0x24F), (0x2070, 0x209C), (0x1E00, 0x1EFF), (0xFF01, 0xFF5E)]
 _DROPPED_RANGES = [(0x300, 0x36F), (0xAD, 0xAD), (0x200B, 0x200F), (0xFEFF, 0xFEFF)]
 
+# FIXED VALUES: Greek letters after ELOT 743 (ISO 843, transcription), Cyrillic ones after the ALA-LC romanisation
+# without its marks; where languages differ, as in Russian. Accented letters are spelled as their base letter.
+GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψωϊϋ", "a v g d e z i th i k l m n x o p r s s t y f ch ps o i y".split(), strict=True))
+CYRILLIC = dict(
+    zip(
+        "абвгґдђеєжзѕиіјклљмнњопрстћуфхцчџшщыэюя",
+        "a b v g g d d e ie zh z dz i i j k l lj m n nj o p r s t c u f kh ts ch dz sh shch y e iu ia".split(),
+        strict=True,
+    )
+)
+_SILENT = "ъь"
+# Greek letters that read differently beside others, in the order in which they are replaced
+GREEK_CONTEXT = [
+    ("ου", "ou"),
+    ("([αεη])υ(?=[αεηιουωϊϋβγδζλμνρ])", "$1v"),
+    ("([αεη])υ", "$1f"),
+    ("(?<![α-ωϊϋ])μπ|μπ(?![α-ωϊϋ])", "b"),
+    ("γγ", "ng"),
+    ("γξ", "nx"),
+    ("γχ", "nch"),
+]
+_SCRIPTS = "[\u0370-\u03ff\u1f00-\u1fff\u0400-\u052f]"
+_SCRIPT_RANGES = [(0x370, 0x3FF), (0x1F00, 0x1FFF), (0x400, 0x52F)]
+
 # every character that counts as white space
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
@@ -48,14 +72,44 @@ def _transliteration() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(single) + dropped, "".join(single.values()), sorted(several.items())
 
 
+@lru_cache(maxsize=1)
+def _base_letters() -> tuple[str, str]:
+    """(from, to): Greek and Cyrillic letters to lower case without marks, but for a diaeresis in Greek, which parts vowels."""
+    pairs = {}
+    for low, high in _SCRIPT_RANGES:
+        for ch in map(chr, range(low, high + 1)):
+            marks = unicodedata.normalize("NFD", ch.lower())
+            parted = {"ι": "ϊ", "υ": "ϋ"}.get(marks[0]) if "\u0308" in marks else None
+            base = parted or marks[0]
+            if base != ch and (base in GREEK or base in CYRILLIC or base in _SILENT):
+                pairs[ch] = base
+    return "".join(pairs), "".join(pairs.values())
+
+
+def romanize(c: Column) -> Column:
+    """Greek and Cyrillic in lower-case Latin letters (STR-01): first letters that read differently beside others, then each by itself."""
+    marks = "".join(chr(x) for x in range(0x300, 0x370))
+    text = F.replace(F.replace(c, F.lit("υ\u0308"), F.lit("ϋ")), F.lit("Υ\u0308"), F.lit("ϋ"))
+    text = F.translate(text, marks, "")
+    text = F.translate(text, *_base_letters())
+    for pattern, spelling in GREEK_CONTEXT:
+        text = F.regexp_replace(text, pattern, spelling)
+    letters = {**GREEK, **CYRILLIC}
+    for letter, spelling in letters.items():
+        if len(spelling) > 1:
+            text = F.replace(text, F.lit(letter), F.lit(spelling))
+    single = {k: v for k, v in letters.items() if len(v) == 1}
+    return F.translate(text, "".join(single) + _SILENT, "".join(single.values()))
+
+
 def to_ascii(c: Column) -> Column:
-    """Latin letters without accents, ligatures and signs spelled out (STR-01).
+    """Latin letters without accents, ligatures and signs spelled out; Greek and Cyrillic romanised in lower case (STR-01).
 
     Other scripts are left as they are.
     """
     source, target, several = _transliteration()
     # one cheap test keeps plain ASCII text, the usual case, off the long chain
-    spelled = F.translate(c, source, target)
+    spelled = F.translate(F.when(c.rlike(_SCRIPTS), romanize(c)).otherwise(c), source, target)
     for ch, plain in several:
         spelled = F.replace(spelled, F.lit(ch), F.lit(plain))
     return F.when(c.rlike(r"[^\x00-\x7f]"), spelled).otherwise(c)

@@ -40,17 +40,19 @@ def registry_for_keys(
     date: str,
     columns: list[str],
     *ties: str,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Latest registry row of each wanted key (ENR-03); null keys are not wanted.
 
     Rows of other keys are dropped in the scan, exactly by a broadcast semi-join if the counted keys are few, else by a
     filter of a few bits per key. Each map task then ships at most one row per key that is left.
+    ``broadcast`` chooses the plan instead of the count.
     """
     names = list(dict.fromkeys([key, date, *columns, *ties]))
     registry = registry.select(*names)
     wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_wanted"))
     n = wanted.count()
-    few = n * KEY_BYTES <= broadcast_bytes(registry.sparkSession)
+    few = n * KEY_BYTES <= broadcast_bytes(registry.sparkSession) if broadcast is None else broadcast
     rows = join_unique(registry, F.broadcast(wanted), F.col(key), "_wanted", "left_semi") if few else may_be_wanted(registry, key, wanted, "_wanted", n)
     newest = latest_per_key(rows, key, lenient_timestamp(F.col(date)), *ties)
     return newest if few else join_unique(newest, wanted, F.col(key), "_wanted", "left_semi")

@@ -45,6 +45,18 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", max_rows_per_file:
     )
 
 
+def write_with_preamble(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Delimited text that begins with a line 'sep=…' and a header in every file, as ``read_with_preamble`` expects (SRC-04)."""
+    rows = flatten_for_text(df)
+    options = {"sep": sep, "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    line = F.to_csv(F.struct("*"), options)
+    names = sep.join('"' + n.replace('"', '""') + '"' if sep in n or '"' in n else n for n in rows.columns)
+    # the lower bits of this id number the rows of a task, and a task writes one file
+    opens_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    text = F.when(opens_file, F.concat(F.lit(f"sep={sep}\n{names}\n"), line)).otherwise(line)
+    rows.select(text.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet between stages."""
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)

@@ -1,3 +1,5 @@
+import unicodedata
+
 import pytest
 
 from goldrec import vocab
@@ -96,3 +98,26 @@ def test_vocabularies_are_complete():
     assert len(vocab.EXPORT_COLUMNS) == 28 and len(vocab.SCORE_FIELDS) == 12 and len(vocab.ENRICH_FIELDS) == 14
     assert set(vocab.NAF_TAG.values()) <= set(vocab.DIGITAL_TAGS)
     assert set(vocab.LEGAL_FORM_FAMILY.values()) <= set(vocab.FAMILIES)
+
+
+def test_greek_and_cyrillic_names(values):
+    spelled = {
+        "Ευρωπαϊκή Ένωση": "evropaiki enosi",
+        "ΑΥΤΟΚΊΝΗΤΟ": "aftokinito",
+        "Μπουζούκι, Λάμπα": "bouzouki lampa",
+        "Άγγελος Ευάγγελος": "angelos evangelos",
+        "Ηχώ & Ψυχή": "icho psychi",
+        "Μαΐου ευχή ναυς πραΰς": "maiou efchi nafs prays",
+        "σφίγξ έλεγχος": "sfinx elenchos",
+        "Москва": "moskva",
+        "Щёкино": "shchekino",
+        "Объединение «Юлия»": "obedinenie iuliia",
+        "Київ, Ґалаґан": "kiiv galagan",
+        "Љубица Његош Ђорђе": "ljubitsa njegosh dorde",
+        "Café Ωμέγα 3": "cafe omega 3",
+        "漢字": "",
+    }
+    got = values(text.normalize_name, list(spelled))
+    assert dict(zip(spelled, got, strict=True)) == spelled
+    # letters with combining marks read like composed ones
+    assert values(text.normalize_name, [unicodedata.normalize("NFD", k) for k in spelled]) == got

@@ -250,3 +250,13 @@ def test_empty_index(spark, tmp_path):
     assert found(stored.lookup(texts)) == []
     with pytest.raises(ValueError):
         nameindex.store_index(index, levels=(50,))
+
+
+def test_entities_in_other_scripts_resolve(spark):
+    rows = [("1", "Ευρωπαϊκή Ένωση Λάμπα", None), ("2", "ООО «Москва Щёкино»", None), ("3", "Lampa Latin", "ΕΛ ΤΑ")]
+    index = M.build_name_index(spark.createDataFrame(rows, "siren string, name string, acr string"), "siren", ["name", "acr"])
+    asked = [("a", "EVROPAIKI ENOSI LAMPA"), ("b", "ООО Москва-Щекино"), ("c", "Ευρωπαϊκη Ενωσις Λαμπα"), ("d", "ooo moskva shchekin"), ("e", "el ta")]
+    got = M.resolve_by_name(spark.createDataFrame(asked, "id string, NOM string"), index, alt_name=None)
+    found = {r.id: (r.siren, r.match_pass) for r in got.collect()}
+    assert found["a"] == ("1", 1) and found["c"] == ("1", 3) and found["d"] == ("2", 3) and found["e"] == ("3", 1)
+    assert found["b"][0] == "2"
