@@ -21,6 +21,14 @@ def read_table(spark, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def unused_name(columns: list[str], name: str) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fits(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMIT) -> bool:
     """Whether the counted rows of a staged table may be broadcast."""
     return df.count() * row_bytes <= limit

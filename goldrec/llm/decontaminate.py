@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldrec.llm import words
-from goldrec.llm.common import slices
+from goldrec.llm.common import slices, unused_name
 from goldrec.session import stage
 
 WINDOW = 10
@@ -328,14 +328,15 @@ def _cut_spans(at: int):
 def _remove_by_blocks(docs: DataFrame, blocks: list, at: int) -> DataFrame:
     """Each round finds the spans of all blocks on the same text and cuts their union, until a round finds nothing."""
     kind = "array<struct<start:bigint,end:bigint,low:bigint,high:bigint>>"
-    rows = docs.withColumn("_spans", F.expr(f"cast(array() AS {kind})")).withColumn("_live", F.lit(True))
+    spans, live = (unused_name(docs.columns, name) for name in ("spans", "live"))
+    rows = docs.withColumn(spans, F.expr(f"cast(array() AS {kind})")).withColumn(live, F.lit(True))
     while True:
         schema = rows.schema
         for held in blocks:
             rows = rows.mapInArrow(_add_spans(held, at), schema)
         rows = stage(rows.mapInArrow(_cut_spans(at), schema), "cut")
-        if rows.where("_live").isEmpty():
-            return rows.select(*docs.columns)
+        if rows.where(F.col(live)).isEmpty():
+            return rows.drop(spans, live)
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -203,13 +203,14 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def train(docs: DataFrame, labels: DataFrame, rows: int = MAX_TRAINING) -> Model:
     """Fit labels.quality on at most ``rows`` labelled documents.
 
-    The sample has the smallest hashes of the ids, so it does not depend on partitions. Labels that are null, repeated
-    with another value, or of no document are left out.
+    The sample has the smallest hashes of the ids, so it does not depend on partitions. Of texts that share an id the one of
+    the smallest hash is taken. Labels that are null, repeated with another value, or of no document are left out.
     """
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("z")).where("y = z")
     chosen = stage(known.select("doc_id", F.col("y").cast("double").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "labels")
-    # the sample is bounded by ``rows``
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    # one text per id, so the sample is bounded by ``rows``
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = labelled.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
     found = texts.select("y", "text").mapInArrow(_feature_rows, "y double, x array<double>").toArrow()
     if not len(found):
         return Model()

@@ -24,6 +24,8 @@ from goldrec.session import scratch_path, stage
 
 #: Ranges with a gap of at most GAP bytes are read together, up to READ bytes.
 GAP, READ = 64 << 10, 8 << 20
+#: Bytes of records that a task reads.
+TASK = 16 << 20
 #: The archives are a function of their input, so the date is a parameter.
 DATE = "2024-01-01T00:00:00Z"
 INDEX = "page_id long, record_type string, refers_to long, file string, offset long, length long, url string, digest string"
@@ -156,7 +158,8 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
 
     The digest is of the payload as read; a revisit has none and names that of the record it refers to.
 
-    Rows are dealt by stretches of READ bytes of one file and sorted by offset, so a task's neighbours share reads.
+    Rows are dealt by stretches of READ bytes of one file and sorted by offset, so a task's neighbours share reads. The
+    number of tasks follows from the bytes to read, not from the small rows of the index.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +194,8 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
             source.close()
 
     chosen = index.select("file", "offset", "length").withColumn("stretch", F.floor(F.col("offset") / READ))
-    dealt = chosen.repartition("file", "stretch").sortWithinPartitions("file", "offset").drop("stretch")
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 0) // TASK) or 1
+    dealt = chosen.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset").drop("stretch")
     return dealt.mapInArrow(read, "page_id long, record_type string, refers_to long, url string, payload binary, payload_digest string")
 
 

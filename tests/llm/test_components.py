@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from goldrec.llm import common, jaccard_join
+from goldrec.llm import common, decontaminate, jaccard_join, quality, warc
+from goldrec.session import scratch_path
 
 
 def brute(pairs):
@@ -63,3 +64,36 @@ def test_cells_are_dealt_by_their_work(spark):
     dealt, found = jaccard_join._split(jaccard_join.cell_sets(docs, cells), 4_000_000, 20_000)
     weights = dealt.groupBy("cell").agg({"n": "sum", "node": "count"}).collect()
     assert found is None and len(weights) > 30 and max(r["sum(n)"] * r["count(node)"] for r in weights) <= 2 * 20_000
+
+
+def test_labels_of_repeated_ids_stay_bounded(spark):
+    rows = [(1, f"text number {i} of one id") for i in range(500)] + [(2, "two"), (3, "three"), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    fitted = []
+    original = quality.fit
+    quality.fit = lambda x, y, *a, **b: fitted.append(len(y)) or original(x, y, *a, **b)
+    try:
+        quality.train(docs, labels, rows=2)
+    finally:
+        quality.fit = original
+    assert fitted == [2]
+
+
+def test_archives_are_read_by_as_many_tasks_as_their_bytes_need(spark, monkeypatch):
+    monkeypatch.setattr(warc, "TASK", 4000)
+    monkeypatch.setattr(warc, "READ", 1000)
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"page {i} " * 30) for i in range(200)], "page_id long, url string, html string")
+    folder = scratch_path(spark, "archives")
+    index = warc.write_archives(pages, folder)
+    back = warc.read_records(index, folder)
+    assert back.rdd.getNumPartitions() == -(-index.agg({"length": "sum"}).first()[0] // 4000) > 10
+    assert {r.page_id: bytes(r.payload).decode() for r in back.collect()} == {i: f"page {i} " * 30 for i in range(200)}
+
+
+def test_blocks_keep_columns_of_any_name(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"a {passage} b", "S", True, 4), (2, "clean", "T", None, 5)], "doc_id long, text string, spans string, live boolean, _spans int")
+    benchmark = spark.createDataFrame([(i, " ".join(f"{i}x{k}" for k in range(40))) for i in range(5)] + [(9, passage)], "item_id long, text string")
+    kept = [sorted(tuple(r) for r in decontaminate.remove_contamination(docs, benchmark, block_words=n).collect()) for n in (10_000_000, 20)]
+    assert kept[0] == kept[1] and kept[0][0][2:] == ("S", True, 4) and "p7" not in kept[0][0][1]
