@@ -13,8 +13,19 @@ from goldrec.llm.common import join_counted, read_table
 from goldrec.session import stage
 
 
+#: Rows of whole texts in an Arrow batch: a worker and its executor hold a few batches at a time.
+BATCH_ROWS = 1_000
+#: Near duplicates tie equal regions inside a batch, so larger batches send fewer rows on.
+REGION_BATCH_ROWS = 10_000
+
+
+def set_batches(spark: SparkSession, rows: int) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts, fitted on the labels of these documents."""
+    set_batches(spark, BATCH_ROWS)
     model = quality.train(docs, quality.learnable(read_table(spark, sf_dir, "labels", ["doc_id", "quality"])))
     return quality.keep_good(docs, model)
 
@@ -25,6 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     A document is an id with a text: repeats of one row are one document, of which one stays, and texts that share an id
     are told apart, so that only one with a kept partner goes. Columns of any name are carried along.
     """
+    set_batches(spark, REGION_BATCH_ROWS)
     linked = jaccard_join.linked_rows(docs.select("doc_id", "text"))
     counted = linked.groupBy("label", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     first = counted.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
@@ -46,16 +58,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of the benchmark."""
+    set_batches(spark, BATCH_ROWS)
     return decontaminate.remove_contamination(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with secrets replaced by a mark."""
+    set_batches(spark, BATCH_ROWS)
     return secret_scan.redact_secrets(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and hashes of ids and of the decoded bytes."""
+    set_batches(spark, BATCH_ROWS)
     return bpe.token_digests(docs)
 
 
