@@ -42,7 +42,7 @@ def _order():
 
 
 def _records(spark, sf):
-    return consolidate.consolidate(roles.golden_input(spark, sf), row_order="_row")
+    return consolidate.consolidate(roles.golden_input(spark, sf), row_order="_row", known_sources=vocab.SOURCES)
 
 
 @query("agg01_golden_record", f"WITH {golden_ctes('history')} SELECT {', '.join(_RECORD + _WIDE)} FROM records")

@@ -188,3 +188,12 @@ def _(spark, sf):
     writers.write_table(roles.periods(spark, sf).select("siren", roles.NAF), path)
     writers.write_table(roles.registry(spark, sf).select("siren", roles.NAF), path)
     return spark.read.parquet(path)
+
+
+@query("snk04_replace", f"WITH {WITH_ROLES} SELECT siren, {roles.NAF} FROM registry")
+def _(spark, sf):
+    """Each run replaces the table of the one before in one step."""
+    path = scratch_path(spark, "table")
+    for rows in (roles.periods(spark, sf), roles.registry(spark, sf)):
+        writers.replace_table(rows.select("siren", roles.NAF), path)
+    return readers.read_replaced(spark, path)

@@ -45,6 +45,21 @@ def agg_set(c: Column, sep: str = "|") -> Column:
     return F.array_join(F.array_sort(F.collect_set(c)), sep)
 
 
+def agg_known_set(c: Column, known: list[str], sep: str = "|", name: str = "value") -> Column:
+    """As agg_set_union over values of a known list of at most 63: a bit each, OR-ed and spelled out after the group.
+
+    A value that is not listed fails the query, since it has no bit. The buffer is one number, so a task combines rows
+    without keeping their texts.
+    """
+    parts = F.split(c, f"[{sep}]")
+    bits = [F.when(F.array_contains(parts, k), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, k in enumerate(known)]
+    unknown = F.array_except(parts, literal_list(known))
+    fail = F.raise_error(F.concat(F.lit(f"unlisted {name} "), F.array_join(unknown, sep))).cast("bigint")
+    mask = F.bit_or(F.when(F.size(unknown) > 0, fail).otherwise(reduce(Column.bitwiseOR, bits)))
+    spelled = [F.when(F.getbit(mask, F.lit(i)) == 1, F.lit(k)) for k, i in sorted((k, i) for i, k in enumerate(known))]
+    return F.array_join(F.array_compact(F.array(*spelled)), sep)
+
+
 def agg_best(c: Column, priority: list[str], order: Column) -> Column:
     """Value that comes first in the priority list; unknown values last (AGG-04)."""
     position = F.array_position(literal_list(priority), c)
@@ -92,6 +107,7 @@ def consolidate(
     origins: list[str] = vocab.ORIGINS,
     row_order: str | None = None,
     supplied: dict[str, list[str]] | None = None,
+    known_sources: list[str] | None = None,
 ) -> DataFrame:
     """One record per key with provenance, best values and conflicts (AGG-01).
 
@@ -103,7 +119,8 @@ def consolidate(
     listed fails the query: its values would have no place among the conflicts.
 
     ``supplied`` says which attributes each origin can have at all; the others
-    need no aggregate. It changes the cost only.
+    need no aggregate. It changes the cost only. ``known_sources`` lists all sources that may occur; without it the sources
+    of a group are collected as texts.
     """
     suppliers = {
         a: [o for o in origins if supplied is None or a in supplied[o]] if a in df.columns else []
@@ -130,8 +147,8 @@ def consolidate(
     order = F.col("_order")
     best_method = agg_best(F.col("methode_jointure"), vocab.JOIN_METHODS, order)
     grouped = prepared.groupBy(key).agg(
-        agg_set_union(F.col("sources")).alias("sources"),
-        agg_set(F.col(ORIGIN)).alias("origines"),
+        (agg_known_set(F.col("sources"), known_sources, name="source") if known_sources else agg_set_union(F.col("sources"))).alias("sources"),
+        agg_known_set(F.col(ORIGIN), origins, name="origin").alias("origines"),
         best_method.alias("methode_jointure"),
         agg_confidence(F.col("confiance_jointure"), best_method).alias("confiance_jointure"),
         *[agg_resolve(a, suppliers[a]).alias(f"_{a}") for a in attributes],

@@ -60,7 +60,11 @@ def flag_listed(
 def attach(
     df: DataFrame, other: DataFrame, key: str, columns: list[str]
 ) -> DataFrame:
-    """Left join on a key with chosen columns of the other side, unique per key (JOIN-03, JOIN-04)."""
+    """Left join on a key with chosen columns of the other side (JOIN-03, JOIN-04).
+
+    The other side must hold a key once; this is not checked, and a repeated key repeats rows. ``registry_for_keys`` and
+    ``latest_per_key`` give such tables.
+    """
     right = other.select(F.col(key).alias("_other_key"), *[c for c in columns if c != key])
     return join_unique(df, right, F.col(key), "_other_key", "left").drop("_other_key")
 

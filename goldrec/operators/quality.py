@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldrec import vocab
-from goldrec.functions.codes import code_text, filled_count, lookup, round_half_even
+from goldrec.functions.codes import code_text, filled_count, literal_list, lookup, round_half_even
 from goldrec.functions.text import is_digits
 from goldrec.operators.joins import flag_listed
 
@@ -22,6 +22,11 @@ def completeness(
     return df.withColumn(name, round_half_even(share, 2))
 
 
+def _unlisted_sources(c: Column) -> Column:
+    """Whether a joined set holds a source outside the vocabulary."""
+    return (c != "") & (F.size(F.array_except(F.split(c, "[|]"), literal_list(vocab.SOURCES))) > 0)
+
+
 def violations(df: DataFrame) -> Column:
     """Names of the broken rules of a record (QLT-02). Absent columns break none."""
 
@@ -35,6 +40,7 @@ def violations(df: DataFrame) -> Column:
             rule("siren", "siren", lambda c: c.isNull() | ~is_digits(c, 9)),
             rule("siret_siege", "siret_siege", lambda c: (c != "") & ~is_digits(c, 14)),
             rule("rna", "rna", lambda c: (c != "") & ~c.rlike("^W[0-9]{9}$")),
+            rule("sources", "sources", _unlisted_sources),
             rule("confiance_jointure", "confiance_jointure", lambda c: ~c.between(0.0, 1.0)),
         )
     )

@@ -57,12 +57,16 @@ def surveyed_places(
     registry: DataFrame,
     flags: list[str] = vocab.DIGITAL_SURVEY_FLAGS,
     fuzzy: bool = True,
+    order: str | None = None,
 ) -> DataFrame:
-    """Surveyed places with every digital flag, resolved by name (PIPE-03)."""
+    """Surveyed places with every digital flag, resolved by name (PIPE-03).
+
+    Of entities with one name the first in ``order``, a registry column such as the row number of the file, keeps it.
+    """
     digital = all_truthy(activities, flags).select("ID_UNIQUE")
     columns = [c for c in vocab.SURVEY_IDENTITY_COLUMNS if c in identity.columns]
     places = attach(digital, identity, "ID_UNIQUE", columns)
-    index = build_name_index(registry, "siren", [NAME, ACRONYM], F.col(STATUS) == "A")
+    index = build_name_index(registry, "siren", [NAME, ACRONYM], F.col(STATUS) == "A", order)
     resolved = resolve_by_name(places, index, "NOM", "NOM_STRC_PORT", fuzzy)
     return with_provenance(resolved.drop("match_pass"), ["tiers_lieux"], "scoring")
 

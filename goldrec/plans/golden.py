@@ -25,14 +25,19 @@ def consolidate_candidates(
     candidates: dict[str, DataFrame],
     renames: dict[str, dict[str, str]] = vocab.ORIGIN_RENAMES,
     row_order: str | None = None,
+    known_sources: list[str] | None = vocab.SOURCES,
 ) -> DataFrame:
-    """One derived golden record per key (PIPE-05). The order of the dict is the input order."""
+    """One derived golden record per key (PIPE-05). The order of the dict is the input order.
+
+    A source outside the vocabulary fails the query; pass None to take any.
+    """
     shaped = shape_candidates(candidates, renames)
     records = consolidate(
         union_all(list(shaped.values())),
         origins=list(shaped),
         row_order=row_order,
         supplied={origin: df.columns for origin, df in shaped.items()},
+        known_sources=known_sources,
     )
     return derive(records)
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from goldrec.functions.text import canonical_key, is_digits, strip
 from goldrec.sources.records import NOTHING, records
+from goldrec.sources.versions import current_version
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -65,6 +66,14 @@ def read_with_preamble(
     return _parse(records(spark, path, sep), columns, columns, sep, 2)
 
 
+def read_replaced(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Scan of the version that ``replace_table`` made current (SNK-04)."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return read_table(spark, f"{path}/{version}", columns)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when the path holds something, on any file system Spark can reach."""
     jvm = spark.sparkContext._jvm
@@ -119,23 +128,27 @@ def lookup_key(df: DataFrame, column: str, value) -> DataFrame:
     return df.where(F.col(column) == F.lit(value))
 
 
+#: Hash prefixes that a sample counts; so many rows reach the driver at most.
+SAMPLE_BUCKETS = 1 << 16
+
+
 def sample_rows(df: DataFrame, n: int, key: Column, seed: int) -> DataFrame:
-    """At most n rows, the same ones at every run (SRC-09): those with the n smallest keyed hashes.
+    """At most n rows, the same ones at every run (SRC-09): those with the n smallest keyed hashes, in no order.
 
-    The choice does not depend on how the table is partitioned. Rows above a
-    hash bound that leaves somewhat more than n rows in the whole table are
-    dropped inside the tasks, so only about n rows meet in the final ordering.
+    The choice does not depend on how the table is partitioned. One scan counts the rows per hash prefix, which tells the
+    prefix of the n-th hash. Rows of smaller prefixes stay in their tasks; only those of this one prefix, a
+    65 536th of the table, are ordered.
     """
     ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
-    place = F.conv(F.substring(ticket, 1, 8), 16, 10).cast("long")
-    total = df.count()
-    bound = 1 << 32
-    if total > 2 * n:
-        bound = int(bound * (1.2 * n + 100) / total)
-        while bound < 1 << 32 and df.where(place < bound).limit(n).count() < n:
-            bound *= 2
-    chosen = df.where(place < bound) if bound < 1 << 32 else df
-    return chosen.orderBy(ticket, key).limit(n)
+    prefix = F.conv(F.substring(ticket, 1, 4), 16, 10).cast("int")
+    counts = {r["prefix"]: r["count"] for r in df.groupBy(prefix.alias("prefix")).count().collect()}
+    left = n
+    for edge in sorted(counts):
+        if counts[edge] > left:
+            whole = df.where(prefix < edge)
+            return whole.union(df.where(prefix == edge).orderBy(ticket, key).limit(left)) if left else whole
+        left -= counts[edge]
+    return df
 
 
 def head(df: DataFrame, n: int, *order: str | Column) -> DataFrame:

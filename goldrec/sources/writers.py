@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldrec.sources.records import NOTHING
+from goldrec.sources.versions import current_version, delete, point_to, versions
 
 
 def flatten_for_text(df: DataFrame) -> DataFrame:
@@ -60,3 +63,24 @@ def write_with_preamble(df: DataFrame, path: str, sep: str = ",") -> None:
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet between stages."""
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+
+
+def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Write a table in place of the one at ``path`` in one step; returns the new version (SNK-04).
+
+    Until the new rows are complete, and if writing them fails, ``read_replaced`` finds the old ones. The version before
+    stays for those who still read it; older ones, and what a failed write left, are removed.
+    """
+    spark = df.sparkSession
+    version = f"version-{uuid.uuid4().hex}"
+    before = current_version(spark, path)
+    try:
+        df.write.parquet(f"{path}/{version}", partitionBy=partition_by)
+    except Exception:
+        delete(spark, f"{path}/{version}")
+        raise
+    point_to(spark, path, version)
+    for old in versions(spark, path):
+        if old not in (version, before):
+            delete(spark, f"{path}/{old}")
+    return version

@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from goldrec import vocab
 from goldrec.operators import consolidate as C
 from goldrec.plans import golden
@@ -204,3 +206,24 @@ def test_four_tables(four_tables):
 def test_consolidation_shuffles_once(four_tables):
     plan = golden.consolidate_candidates(four_tables)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_known_sets_are_bits(spark):
+    rows = [("a", "esus|sirene", "o1"), ("a", "sirene", "o2"), ("a", None, "o1"), ("b", None, None), ("c", "ngi|avise|sirene", "o3")]
+    df = spark.createDataFrame(rows, "k string, s string, o string")
+    grouped = df.groupBy("k").agg(
+        C.agg_known_set(F.col("s"), vocab.SOURCES).alias("s"), C.agg_known_set(F.col("o"), ["o3", "o2", "o1"]).alias("o")
+    )
+    assert {r.k: (r.s, r.o) for r in grouped.collect()} == {"a": ("esus|sirene", "o1|o2"), "b": ("", ""), "c": ("avise|ngi|sirene", "o3")}
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    with pytest.raises(Exception, match="unlisted value nowhere"):
+        df.groupBy("k").agg(C.agg_known_set(F.lit("sirene|nowhere"), vocab.SOURCES)).collect()
+
+
+def test_sources_of_the_vocabulary_and_any_others(spark):
+    rows = [("111111111", "sirene", "ess_x_naf"), ("111111111", "own", "tiers_lieux")]
+    df = spark.createDataFrame(rows, "siren string, sources string, _origin string")
+    assert C.consolidate(df).first().sources == "own|sirene"
+    with pytest.raises(Exception, match="unlisted source own"):
+        C.consolidate(df, known_sources=vocab.SOURCES).collect()

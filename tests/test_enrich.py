@@ -221,3 +221,8 @@ def test_broadcast_size_of_the_session(spark):
             assert joins.broadcast_bytes(spark) == size
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sources_outside_the_vocabulary_are_violations(spark):
+    df = spark.createDataFrame([("esus|sirene",), ("sirene|nowhere",), ("",), (None,)], "sources string")
+    assert [r.violations for r in quality.validate(df).collect()] == [[], ["sources"], [], []]

@@ -196,3 +196,30 @@ def test_preamble_needs_one_parse(spark, tmp_path):
     write(tmp_path / "c.csv", "sep=,\ntitle,Country\na,b\n")
     plan = readers.read_with_preamble(spark, str(tmp_path / "c.csv"), ["title"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
+
+
+def test_sample_stays_in_its_tasks(spark):
+    df = spark.range(0, 200_000, 1, 8)
+    for n in (0, 1, 999, 100_000, 200_000, 300_000):
+        sample = readers.sample_rows(df, n, F.col("id"), 7)
+        ticket = F.md5(F.concat_ws(":", F.lit("7"), F.col("id").cast("string")))
+        wanted = {r.id for r in df.orderBy(ticket, "id").limit(n).collect()}
+        assert {r.id for r in sample.collect()} == wanted and sample.count() == min(n, 200_000)
+    assert readers.sample_rows(df, 100_000, F.col("id"), 7).select(F.spark_partition_id()).distinct().count() > 4
+
+
+def test_table_is_replaced_in_one_step(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        readers.read_replaced(spark, path)
+    for n in (3, 5, 7):
+        writers.replace_table(spark.range(n), path)
+        assert readers.read_replaced(spark, path).count() == n
+    old = readers.read_replaced(spark, path)
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="half-way"):
+        writers.replace_table(broken, path)
+    assert readers.read_replaced(spark, path, ["id"]).count() == 7
+    assert len([p for p in (tmp_path / "table").iterdir() if p.is_dir()]) == 2
+    writers.replace_table(spark.range(2), path)
+    assert old.count() == 7 and readers.read_replaced(spark, path).count() == 2
