@@ -14,6 +14,7 @@ from goldrec.operators import joins, profile, quality
 from goldrec.operators.filters import legal_form_in
 from goldrec.plans import golden
 from goldrec.session import stage
+from goldrec.sources.footers import footer_facts
 
 
 def _rounded(df, digits: int, *columns: str):
@@ -260,17 +261,31 @@ def _(spark, sf):
     return _rounded(profile.score_report(_scores(spark, sf)), 6, "mean_score", "median_score")
 
 
-@query(
-    "agg21_histogram",
-    """WITH b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
+_HISTOGRAM = """WITH b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
     h AS (SELECT least(floor((l_extendedprice - lo) / ((hi - lo) / 20)), 19)::INT AS bin, count(*) AS n FROM lineitem, b GROUP BY 1)
     SELECT r.bin::INT AS bin, round(lo + r.bin * (hi - lo) / 20, 4) AS lower, round(lo + (r.bin + 1) * (hi - lo) / 20, 4) AS upper,
-      coalesce(h.n, 0) AS n FROM range(20) r(bin) CROSS JOIN b LEFT JOIN h ON h.bin = r.bin""",
-)
+      coalesce(h.n, 0) AS n FROM range(20) r(bin) CROSS JOIN b LEFT JOIN h ON h.bin = r.bin"""
+
+
+@query("agg21_histogram", _HISTOGRAM)
 def _(spark, sf):
     return _rounded(profile.histogram(table(spark, sf, "lineitem"), "l_extendedprice"), 4, "lower", "upper")
 
 
+@query("agg21_histogram_from_footers", _HISTOGRAM)
+def _(spark, sf):
+    """Minimum and maximum come from the footers, so the column is scanned once."""
+    _, facts, _ = footer_facts(spark, f"{sf}/lineitem.parquet", ["l_extendedprice"])
+    return _rounded(profile.histogram(table(spark, sf, "lineitem"), "l_extendedprice", extremes=facts["l_extendedprice"][1:]), 4, "lower", "upper")
+
+
+@query("src11_footers", "SELECT count(*) AS n_rows, count(o_custkey) AS n_values, min(o_custkey) AS low, max(o_custkey) AS high FROM orders")
+def _(spark, sf):
+    """Size and key range of a table from its footers alone."""
+    rows, facts, _ = footer_facts(spark, f"{sf}/orders.parquet", ["o_custkey"])
+    return spark.createDataFrame([(rows, *facts["o_custkey"])], "n_rows long, n_values long, low long, high long")
+
+
 _TARGETS = [t for _, t, _ in vocab.ENRICH_FIELDS] + ["siret_siege"]
 
 

@@ -357,14 +357,15 @@ def score_report(df: DataFrame, column: str = "score_enrichissement") -> DataFra
     ).withColumn("median_score", median)
 
 
-def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int = 20, extremes: tuple | None = None) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed (AGG-21).
 
     Bins without rows are listed with 0. When all values are equal the range is
-    one unit wide around the value.
+    one unit wide around the value. ``extremes`` saves the scan for minimum and
+    maximum where they are known, as from ``footer_facts``.
     """
     v = F.col(column).cast("double")
-    low, high = df.agg(F.min(v), F.max(v)).first()
+    low, high = extremes or df.agg(F.min(v), F.max(v)).first()
     flat = low is not None and low == high
     start = F.lit(None if low is None else low - 0.5 if flat else low).cast("double")
     width = F.lit(None if low is None else 1.0 / bins if flat else (high - low) / bins).cast("double")

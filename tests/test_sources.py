@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldrec.session import scratch_path, shared_folder, stage
-from goldrec.sources import readers, records, writers
+from goldrec.sources import footers, readers, records, writers
 
 
 def write(path, text):
@@ -223,3 +223,18 @@ def test_table_is_replaced_in_one_step(spark, tmp_path):
     assert len([p for p in (tmp_path / "table").iterdir() if p.is_dir()]) == 2
     writers.replace_table(spark.range(2), path)
     assert old.count() == 7 and readers.read_replaced(spark, path).count() == 2
+
+
+def test_footers_answer_without_a_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, float(i) / 2 if i % 5 else None, f"x{i}") for i in range(100)]
+    spark.createDataFrame(rows, "a long, b double, c string").repartition(3).write.parquet(path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    n, facts, plan = footers.footer_facts(spark, path, ["a", "b"])
+    assert (n, facts) == (100, {"a": (100, 0, 99), "b": (80, 0.5, 49.5)})
+    assert "PushedAggregation: [COUNT(*), COUNT(a), MIN(a), MAX(a), COUNT(b), MIN(b), MAX(b)]" in plan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    n, facts, _ = footers.footer_facts(spark, path, ["c"])
+    assert facts == {"c": (100, "x0", "x99")}
+    spark.createDataFrame([], "a long").write.parquet(path + "0")
+    assert footers.footer_facts(spark, path + "0", ["a"])[:2] == (0, {"a": (0, None, None)})
