@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,10 +49,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """A folder of its own for what one run stages, removed with everything in it when the run ends.
+
+    Frames made inside read their staged tables, so write or collect results before the end.
+    """
+    before = spark.conf.get(CHECKPOINT_KEY, None)
+    path = scratch_path(spark, name)
+    spark.conf.set(CHECKPOINT_KEY, path)
+    try:
+        yield path
+    finally:
+        spark.conf.unset(CHECKPOINT_KEY) if before is None else spark.conf.set(CHECKPOINT_KEY, before)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
-    Cuts the lineage with a table that outlives any executor.
+    Cuts the lineage with a table that outlives any executor. It stays until its folder goes, see ``run_folder``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)

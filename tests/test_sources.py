@@ -1,9 +1,10 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from goldrec.session import scratch_path, shared_folder, stage
+from goldrec.session import run_folder, scratch_path, shared_folder, stage
 from goldrec.sources import footers, readers, records, writers
 
 
@@ -238,3 +239,11 @@ def test_footers_answer_without_a_scan(spark, tmp_path):
     assert facts == {"c": (100, "x0", "x99")}
     spark.createDataFrame([], "a long").write.parquet(path + "0")
     assert footers.footer_facts(spark, path + "0", ["a"])[:2] == (0, {"a": (0, None, None)})
+
+
+def test_run_folder_is_removed(spark, tmp_path):
+    before = shared_folder(spark)
+    with run_folder(spark) as folder:
+        assert shared_folder(spark) == folder and stage(spark.range(4), "four").count() == 4
+        assert any(p.name.startswith("four-") for p in Path(folder).iterdir())
+    assert shared_folder(spark) == before and not Path(folder).exists()
