@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Where the current run stages, inside the shared folder.
+RUN_KEY = "spark.goldrec.run.folder"
 
 
 def build_session(app: str = "goldrec", master: str | None = None, **settings: str) -> SparkSession:
@@ -35,12 +37,12 @@ def shared_folder(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a session that names
     none (a local test) gets a temporary folder of its own.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    named = spark.conf.get(RUN_KEY, None) or spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="goldrec-")
-        spark.conf.set(CHECKPOINT_KEY, named)
+        spark.conf.set(RUN_KEY, named)
     return named
 
 
@@ -55,13 +57,13 @@ def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
 
     Frames made inside read their staged tables, so write or collect results before the end.
     """
-    before = spark.conf.get(CHECKPOINT_KEY, None)
+    before = spark.conf.get(RUN_KEY, None)
     path = scratch_path(spark, name)
-    spark.conf.set(CHECKPOINT_KEY, path)
+    spark.conf.set(RUN_KEY, path)
     try:
         yield path
     finally:
-        spark.conf.unset(CHECKPOINT_KEY) if before is None else spark.conf.set(CHECKPOINT_KEY, before)
+        spark.conf.unset(RUN_KEY) if before is None else spark.conf.set(RUN_KEY, before)
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
