@@ -26,6 +26,8 @@ U = np.uint64
 #: Least number of doc_id buckets that are sorted on their own (more on a session with many shuffle partitions);
 #: the driver holds two numbers for each.
 BUCKETS = 64
+#: Bytes of text in a bucket.
+BUCKET_BYTES = 32 << 20
 
 
 def sketch_texts(texts: pa.Array, k: int = K) -> list[np.ndarray]:
@@ -139,9 +141,9 @@ def edited_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFram
     another in the order of their texts. Null texts are empty. A single row is its own next document.
     """
     spark = docs.sparkSession
-    buckets = buckets or max(BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    low = docs.agg(F.min("doc_id").alias("low")).first()["low"]
+    low, size = docs.agg(F.min("doc_id"), F.sum(F.octet_length("text"))).first()
+    buckets = buckets or max(BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // BUCKET_BYTES)
     if low is None:
         low = 0
     cuts = sorted(set(docs.where(F.col("doc_id").isNotNull()).approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)) - {float(low)})
@@ -169,5 +171,5 @@ def edited_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFram
     move = F.create_map(*[F.lit(x) for b in order for x in (b, above[b])])
     heads = heads.select(move[F.col("bucket")].alias("bucket"), "doc_id", "text", F.lit(1).alias("tail"))
     rows = placed.select("bucket", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(0).alias("tail")).union(heads)
-    run = rows.repartition("bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+    run = rows.repartition(len(order), "bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
     return run.mapInArrow(_edit, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
