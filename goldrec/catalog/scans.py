@@ -53,9 +53,9 @@ def _(spark, sf):
     "SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(replace(text, ' the ', chr(10) || '\"the\"' || chr(13))) AS digest FROM documents",
 )
 def _(spark, sf):
-    """One file whose values hold line breaks and quotes, read block by block."""
+    """Files whose values hold line breaks and quotes, each written by a task of the scan and read block by block."""
     broken = F.replace("text", F.lit(" the "), F.lit('\n"the"\r'))
-    path = _as_text_file(table(spark, sf, "documents").select("doc_id", broken.alias("text")).coalesce(1), ";")
+    path = _as_text_file(table(spark, sf, "documents").select("doc_id", broken.alias("text")), ";")
     return readers.read_delimited(spark, path, ["doc_id", "text"], ";").select("doc_id", F.md5("text").alias("digest"))
 
 

@@ -1,9 +1,11 @@
+import hashlib
 import random
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from goldrec.catalog import CATALOG
 from goldrec.session import run_folder, scratch_path, shared_folder, stage
 from goldrec.sources import footers, readers, records, writers
 
@@ -148,6 +150,18 @@ def test_text_survives_many_blocks(spark, tmp_path, small_blocks, size):
     assert parts > 1
 
 
+def test_no_task_writes_the_whole_table(spark, tmp_path, small_blocks):
+    rows = [(i, f"a{i} the \"b\"; the c\n") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "in/documents.parquet"))
+    small_blocks(1 << 20)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))  # a file to a task
+    with run_folder(spark) as path:
+        got = {r.doc_id: r.digest for r in CATALOG.queries["src03_line_breaks"](spark, str(tmp_path / "in")).collect()}
+        parts = list(Path(path.removeprefix("file:")).glob("delimited-*/part-*"))
+    assert got == {str(i): hashlib.md5(t.replace(" the ", '\n"the"\r').encode()).hexdigest() for i, t in rows}
+    assert len(parts) == 4
+
+
 @pytest.mark.parametrize("size", [60, 1 << 20])
 def test_null_rows_of_one_column(spark, tmp_path, small_blocks, size):
     df = spark.createDataFrame([(v,) for v in [*AWKWARD, None, "", None, "x"]], "siren string")
