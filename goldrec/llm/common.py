@@ -119,8 +119,12 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[tied], nodes[label[tied]]
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (u, v): forests of the edges of a task, so many at once."""
+#: Columns of contracted edges.
+FOREST = "u long, v long"
+
+
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows FOREST: forests of the edges (a, b) of a task, so many at once."""
     held, size = [], 0
     for batch in batches:
         held.append(tuple(np.asarray(c) for c in batch.columns[:2]))
@@ -138,14 +142,22 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node on an edge (a, b) of longs; label is the smallest node that can be reached.
 
-    Edges are first contracted in the tasks that make them, then in blocks of CONTRACTED_EDGES: each block becomes a forest of
-    depth one. One block is the answer. More are joined by large-star and small-star steps, which alternate until nothing
-    changes. Each step is a minimum per node, which is combined before the shuffle, and an equi-join. Every round is
-    written to the shared folder.
+    Edges are contracted in the tasks that make them. If Python makes them, let it ``contract`` them too and call
+    ``forest_components``: a task with two Python steps takes two workers, and an executor keeps using them all.
+    """
+    return forest_components(edges.where("a <> b").select("a", "b").mapInArrow(contract, FOREST))
+
+
+def forest_components(forests: DataFrame) -> DataFrame:
+    """As connected_components, of edges FOREST that ``contract`` has made.
+
+    They are contracted once more in blocks of CONTRACTED_EDGES: each block becomes a forest of depth one. One block is the
+    answer. More are joined by large-star and small-star steps, which alternate until nothing changes. Each step is a
+    minimum per node, which is combined before the shuffle, and an equi-join. Every round is written to the shared folder.
     """
-    e = stage(edges.where("a <> b").select("a", "b").mapInArrow(_contract, "u long, v long"), "edges")
+    e = stage(forests, "edges")
     blocks = -(-e.count() // CONTRACTED_EDGES)
-    e = stage(e.coalesce(max(1, blocks)).mapInArrow(_contract, "u long, v long"), "edges")
+    e = stage(e.coalesce(max(1, blocks)).mapInArrow(contract, FOREST), "edges")
     seen = None
     while blocks > 1:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

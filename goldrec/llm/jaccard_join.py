@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from goldrec.llm import words
-from goldrec.llm.common import BROADCAST_LIMIT, connected_components, slices
+from goldrec.llm.common import BROADCAST_LIMIT, FOREST, connected_components, contract, forest_components, slices
 from goldrec.session import stage
 
 #: Texts link when PART * intersection >= SHARE * union.
@@ -198,8 +198,8 @@ def _tie_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidate_cells(docs: DataFrame, levels) -> DataFrame:
     """(node, label): texts that may link share a label; texts without candidates are left out."""
     rows = docs.select("text").mapInArrow(_windows(levels), "key long, node long")
-    edges = rows.repartition(F.shiftright("key", SIZE_BITS)).sortWithinPartitions("key").mapInArrow(_tie_regions, "a long, b long")
-    return connected_components(edges)
+    regions = rows.repartition(F.shiftright("key", SIZE_BITS)).sortWithinPartitions("key")
+    return forest_components(regions.mapInArrow(lambda batches: contract(_tie_regions(batches)), FOREST))
 
 
 #: Bits of a mask: two sets of a region are a pair of it if their masks together have all bits. Each level of

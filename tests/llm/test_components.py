@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from goldrec.llm import common, decontaminate, jaccard_join, quality, warc
-from goldrec.session import scratch_path
+from goldrec.session import scratch_path, stage
 
 
 def brute(pairs):
@@ -44,6 +44,25 @@ def test_components(spark, monkeypatch, size):
     assert common.connected_components(edges.limit(0)).collect() == []
 
 
+def test_cells_take_one_worker_a_task(spark, monkeypatch):
+    """Two Python steps in a task leave an executor with twice the workers, which later operators fill with their tables."""
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(common, "stage", noted)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 40)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0] + " end", texts[1] + " end"])], "doc_id long, text string")
+    levels = spark.sparkContext.broadcast(jaccard_join.shingle_levels(docs))
+    cells = jaccard_join.candidate_cells(docs, levels).collect()
+    assert len({r.node for r in cells}) == len(cells) >= 4 and plans
+    for plan in plans:
+        assert all(steps.count("MapInArrow") <= 1 for steps in plan.split("Exchange"))
+
+
 def test_cells_are_dealt_by_their_work(spark):
     rng = np.random.default_rng(1)
     base = [f"w{x}" for x in rng.integers(0, 5000, 60)]
