@@ -9,13 +9,19 @@
   one of these regions. The order puts shingles that few documents hold first; counts over the whole corpus,
   kept in a table of fixed size, decide. Any order is exact; this one keeps regions of common passages empty.
   Texts of a region whose sizes are too far apart are not tied.
-* Regions that overlap are fused into **cells** (components of the candidate graph), so a text travels once.
+* Regions that overlap are fused (components of the candidate graph), so a text travels once. The larger a corpus, the more
+  texts share a rare shingle by chance, until one component holds them all. What is fused is therefore parted again by
+  regions of pairs of neighbours in the order: if y lacks a shingles of x and has b others, 5 a + 4 b <= n, and at most
+  2 a + b <= 2 n / 5 pairs of x are no pairs of y (a shingle that y lacks ends two, one between ends one). So linked texts
+  share one of their first 2 n // 5 + 1 pairs. Linked texts lie in one component of either kind; a **cell** is what two
+  such components have in common.
 * **Below, documents as pivots.** A cell is split into Voronoi regions; x also enters the region of a later
   pivot q if d(x, q) - d(x, home) <= 2 EPS, which holds for every x within EPS of a text at home there. Regions
   are joined in the same way until they are small, then pair by pair. A pair belongs to the region in which its later
   member is at home, so every link is counted once. Without counts, texts that are already connected are skipped.
-  A cell beyond ``max_elements`` is split this way by Spark first; one that does not shrink, and one whose members and shingles
-  make too much work for a task, is dealt into blocks, each pair of which is a cell. No text, region or link is dropped.
+  A cell beyond ``max_elements`` is split this way by Spark first; one that does not shrink, told before anything is written,
+  and one whose members and shingles make too much work for a task, is dealt into blocks, each pair of which is a cell. In
+  memory, members whose regions would hold as many pairs as they do are compared at once. No text, region or link is dropped.
 
 Equal sets are one node from the start: a node is a 64-bit fingerprint of the set, so copies meet inside tasks.
 A link of two nodes counts as many links of documents as there are pairs of their copies.
@@ -48,6 +54,8 @@ MAX_ELEMENTS = 4_000_000
 #: Members times shingles of a cell to be joined in one task.
 MAX_WORK = 1_600_000_000
 PIVOTS = 8
+#: How much more than a cell the regions of its pivots may hold together.
+GROWTH = 1.5
 
 
 def set_nodes(bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -132,14 +140,16 @@ def _star(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
 
 
-def _windows(levels):
+def _windows(levels, wanted=None):
     """Rows (key, node): a text enters the region of each shingle in its window. A key is the shingle and the size class.
 
+    With a filter of nodes, its texts enter the regions of pairs of neighbours in the order instead: the first 2 n / 5 + 1 pairs.
     Of the texts of one batch in one region and class only the first is sent on; the others are tied to it by a region of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
+        bits = None if wanted is None else wanted.value
         for batch in batches:
             keys, nodes = [], []
             for _, _, data, off in slices(batch.column(0)):
@@ -150,10 +160,17 @@ def _windows(levels):
                 level = table[hashes & U((1 << SLOT_BITS) - 1)].astype(U)
                 order = np.argsort((row.astype(U) << U(HASH_ROW)) | (level << U(HASH_ROW - 8)) | (words.mix(hashes) >> U(72 - HASH_ROW)))
                 rank = np.arange(len(row)) - bounds[:-1][row]
-                take = order[rank < (sizes // 5 + 1)[row]]
+                # the order keeps the rows in place, so what stands at a position belongs to the row of that position
+                if bits is None:
+                    at = np.flatnonzero(rank < (sizes // 5 + 1)[row])
+                    region = hashes[order[at]]
+                else:
+                    width = np.where(_passes(bits, node), np.minimum(2 * sizes // 5 + 1, sizes - 1), 0)
+                    at = np.flatnonzero(rank < width[row])
+                    region = words.mix(hashes[order[at]] * U(3) + hashes[order[np.minimum(at + 1, len(order) - 1)]])
                 step = (SIZE_STEPS * np.log(np.maximum(sizes, 1)) / np.log(PART / SHARE)).astype(U)
-                keys.append(((hashes[take] << U(SIZE_BITS)) | step[row[take]]).view(np.int64))
-                nodes.append(node[row[take]])
+                keys.append(((region << U(SIZE_BITS)) | step[row[at]]).view(np.int64))
+                nodes.append(node[row[at]])
             if not keys or not sum(map(len, keys)):
                 continue
             k, v = np.concatenate(keys), np.concatenate(nodes)
@@ -195,13 +212,29 @@ def _tie_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pairs[:, 0], pairs[:, 1]], ["a", "b"])
 
 
-def candidate_cells(docs: DataFrame, levels) -> DataFrame:
-    """(node, label): texts that may link share a label; texts without candidates are left out."""
-    rows = docs.select("text").mapInArrow(_windows(levels), "key long, node long")
+def _overlapping(docs: DataFrame, windows) -> DataFrame:
+    """(node, label): texts whose regions overlap, directly or through others, share a label."""
+    rows = docs.select("text").mapInArrow(windows, "key long, node long")
     regions = rows.repartition(F.shiftright("key", SIZE_BITS)).sortWithinPartitions("key")
     return forest_components(regions.mapInArrow(lambda batches: contract(_tie_regions(batches)), FOREST))
 
 
+def candidate_cells(docs: DataFrame, levels) -> DataFrame:
+    """(node, label): texts that may link share a label; texts without candidates are left out.
+
+    They overlap in regions of single shingles and in regions of pairs, which chance does not fill.
+    """
+    single = stage(_overlapping(docs, _windows(levels)), "single")
+    if single.isEmpty():
+        return single
+    held = docs.sparkSession.sparkContext.broadcast(node_filter(single))
+    pairs = _overlapping(docs, _windows(levels, held)).withColumnRenamed("label", "of_pairs")
+    cells = stage(single.join(pairs, "node").select("node", F.xxhash64("label", "of_pairs").alias("label")), "both")
+    held.destroy()
+    shared = cells.groupBy("label").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("label")
+    return cells.join(shared, "label").select("node", "label")
+
+
 #: Bits of a mask: two sets of a region are a pair of it if their masks together have all bits. Each level of
 #: regions has a bit, which members that are not at home lack; the two sides of a pair of blocks have one each.
 FULL, LEVEL_BIT, BLOCK_BITS, REGION_BIT = -1, 0, (16, 17), 18
@@ -255,13 +288,13 @@ class Region:
         d = np.stack([self.link(p, members) for p in pivots])
         home = d.argmin(0)
         nearest = d.min(0)
-        for j in range(PIVOTS):
-            region = (home == j) | ((home < j) & (d[j] - nearest <= 2 * EPS + 1e-9))
+        regions = [(home == j) | ((home < j) & (d[j] - nearest <= 2 * EPS + 1e-9)) for j in range(PIVOTS)]
+        if 2 * sum(int(region.sum()) ** 2 for region in regions) > len(members) ** 2:  # together as many pairs, again on every level below
+            self.pairs(members, masks, d)
+            return
+        for j, region in enumerate(regions):
             own = np.where(home == j, masks, masks & ~np.int64(1 << bit))[region]
-            if region.sum() > 0.8 * len(members):
-                self.pairs(members[region], own, d[:, region])
-            else:
-                self.join(members[region], own, bit + 1)
+            self.join(members[region], own, bit + 1)
 
     def pairs(self, members: np.ndarray, masks: np.ndarray, d: np.ndarray | None = None) -> None:
         """Compare the pairs with sizes and all pivot distances within EPS: those to be counted, or those not yet connected."""
@@ -293,6 +326,12 @@ def _filter_slots(node: np.ndarray) -> np.ndarray:
     return (words.mix(node.view(U)) >> U(64 - FILTER_BITS)).astype(np.int64)
 
 
+def _passes(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Whether the filter lets each node pass."""
+    at = _filter_slots(node)
+    return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
+
+
 def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(part, bits) of nodes that arrive by part."""
     shift = FILTER_BITS - PART_BITS
@@ -338,9 +377,8 @@ def _sets_of(wanted):
             for _, _, data, off in slices(batch.column(0)):
                 bounds, hashes = words.shingle_sets(data, off)
                 node = set_nodes(bounds, hashes)
-                at = _filter_slots(node)
                 out = []
-                for i in np.flatnonzero((np.diff(bounds) > 0) & (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0)):
+                for i in np.flatnonzero((np.diff(bounds) > 0) & _passes(bits, node)):
                     if node[i] not in seen:
                         seen.add(node[i])
                         out.append(i)
@@ -415,13 +453,14 @@ def _join_cells(count: bool):
     return run
 
 
-def _voronoi(pivots, bit: int):
-    """Rows (kind 0: link a, b; kind 1: set of a sub-region) of texts in large cells."""
+def _voronoi(pivots, bit: int, weigh: bool = False):
+    """Rows (kind 0: link a, b; kind 1: set of a sub-region) of texts in large cells; to ``weigh`` the sub-regions, rows (cell, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         around = {c: [(v, np.frombuffer(s, U)) for v, s in rows] for c, rows in pivots.value.items()}
         for batch in batches:
             out: list[list] = [[] for _ in range(8)]
+            cells, weights = [], []
             for c, v, n, s, copies, mask in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 own = np.frombuffer(s, U)
                 outside = mask & ~(1 << bit)
@@ -436,9 +475,16 @@ def _voronoi(pivots, bit: int):
                 home = int(np.argmin(d))
                 for j in range(home, len(d)):
                     if d[j] - d[home] <= 2 * EPS + 1e-9:
+                        cells.append(c)
+                        weights.append(n)
+                        if weigh:
+                            continue
                         sub = int(words.mix(np.array([np.int64(c).astype(U) * U(31) + U(j + 1)]))[0].astype(np.int64))
                         for column, x in zip(out, (1, None, v, sub, n, s, copies, mask if j == home else outside), strict=True):
                             column.append(x)
+            if weigh:
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in (cells, weights)], ["cell", "n"])
+                continue
             types = (pa.int32(), *[pa.int64()] * 4, pa.binary(), pa.int64(), pa.int64())
             yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], ["kind", "a", "node", "cell", "n", "shingles", "copies", "mask"])
 
@@ -461,30 +507,36 @@ def _split(sets: DataFrame, max_elements: int, max_work: int, levels: int = 4) -
     spark = sets.sparkSession
     done, links = [], []
     too_large, too_much = F.col("elements") > max_elements, F.col("elements") * F.col("members") > max_work
+    small = lambda rows, count: F.broadcast(rows) if count * 24 <= BROADCAST_LIMIT else rows
     for level in range(levels + 1):
         weight = sets.groupBy("cell").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("members"))
         weight = stage(weight.where((F.col("members") > 2) & (too_large | too_much)), "weights")
         how_many, busy = weight.agg(F.count_if(too_large), F.count_if(~too_large)).first()
-        deal_all = level == levels or how_many > 4096
-        if busy or deal_all and how_many:
+        dealt, parted = weight, 0
+        if how_many and level < levels and how_many <= 4096:
+            big = sets.join(small(weight.where(too_large).select("cell"), how_many), "cell")
+            order = W.partitionBy("cell").orderBy(F.xxhash64("node", F.lit(level)), "node")
+            chosen = big.select("cell", "node", "shingles").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
+            pivots: dict[int, list] = {}
+            for r in chosen.toLocalIterator():  # PIVOTS rows for each of at most 4096 cells
+                pivots.setdefault(r.cell, []).append((r.node, bytes(r.shingles)))
+            held = spark.sparkContext.broadcast(pivots)
+            # texts close to no pivot, or to several, enter many regions: a cell whose regions would hold much more than it is dealt
+            grown = big.select(*SET_COLUMNS).mapInArrow(_voronoi(held, LEVEL_BIT + level, True), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("grown"))
+            shrinks = stage(weight.join(grown, "cell").where(F.col("grown") <= GROWTH * F.col("elements")).select("cell"), "shrinks")
+            parted = shrinks.count()
+            dealt = weight.join(small(shrinks, parted), "cell", "left_anti")
+        if how_many + busy - parted:
             # blocks of half a task, by what they hold and by the work of a pair of them
-            of = weight if deal_all else weight.where(~too_large)
-            known = F.broadcast(of) if (busy + how_many) * 24 <= BROADCAST_LIMIT else of
+            known = small(dealt, how_many + busy)
             parts = F.greatest(F.ceil(2 * F.col("elements") / max_elements), F.ceil(2 * F.sqrt(F.col("elements") * F.col("members") / max_work))) + 1
             done.append(_deal(sets.join(known, "cell"), parts))
             sets = sets.join(known, "cell", "left_anti")
-        if not how_many or deal_all:
+        if not parted:
             return _union([*done, sets]), _union(links) if links else None
-        large = weight.where(too_large)
-        large = F.broadcast(large) if how_many * 24 <= BROADCAST_LIMIT else large
-        done.append(sets.join(large, "cell", "left_anti"))
-        big = sets.join(large, "cell")
-        order = W.partitionBy("cell").orderBy(F.xxhash64("node", F.lit(level)), "node")
-        chosen = big.select("cell", "node", "shingles").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
-        pivots: dict[int, list] = {}
-        for r in chosen.toLocalIterator():  # PIVOTS rows for each of at most 4096 cells
-            pivots.setdefault(r.cell, []).append((r.node, bytes(r.shingles)))
-        rows = stage(big.select(*SET_COLUMNS).mapInArrow(_voronoi(spark.sparkContext.broadcast(pivots), LEVEL_BIT + level), "kind int, a long, node long, cell long, n long, shingles binary, copies long, mask long"), "regions")
+        done.append(sets.join(small(shrinks, parted), "cell", "left_anti"))
+        big = sets.join(small(shrinks, parted), "cell")
+        rows = stage(big.select(*SET_COLUMNS).mapInArrow(_voronoi(held, LEVEL_BIT + level), "kind int, a long, node long, cell long, n long, shingles binary, copies long, mask long"), "regions")
         links.append(rows.where("kind = 0").select("a", F.col("node").alias("b")))
         sets = rows.where("kind = 1").select(*SET_COLUMNS)
     raise AssertionError("not reached")
