@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: Where the current run stages, inside the shared folder.
 RUN_KEY = "spark.goldrec.run.folder"
+#: Whether the shuffle files of a query go when it ends.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "goldrec", master: str | None = None, **settings: str) -> SparkSession:
@@ -75,5 +77,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_KEY, None)
+    spark.conf.set(CLEANUP_KEY, "true")  # else what was shuffled for it stays on disk until the driver collects its garbage
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP_KEY) if before is None else spark.conf.set(CLEANUP_KEY, before)
     return spark.read.schema(df.schema).parquet(path)

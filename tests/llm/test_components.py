@@ -1,5 +1,6 @@
 """Connected components in blocks of any size, and cells dealt by their work."""
 
+import os
 from collections import Counter
 
 import numpy as np
@@ -197,3 +198,13 @@ def test_regions_that_hold_as_many_pairs_are_not_split_again(monkeypatch):
         found.append((region.links.tolist(), sum(work)))
         work.clear()
     assert found[0][0] == found[1][0] and found[1][1] < 1.5 * found[0][1]
+
+
+def test_what_a_staged_table_shuffled_goes_with_its_query(spark):
+    def files():
+        places = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for top in places for _, _, names in os.walk(top) for f in names if f.startswith("shuffle")}
+
+    before = files()
+    staged = stage(spark.range(1000).selectExpr("id", "id % 7 AS k").repartition("k"), "shuffled")
+    assert not files() - before and staged.count() == 1000
